@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.contract import Table
-from tidemark.functions.casts import contract_cast, lossy_cast
-from tidemark.functions.errors import error_array, tag_when
+from tidemark.functions.casts import _q, lossy_cast_sql
+from tidemark.functions.errors import error_array
 
 
 def _check_sources(bronze: DataFrame, table: Table) -> None:
@@ -23,15 +23,15 @@ def transform_table(bronze: DataFrame, table: Table) -> DataFrame:
     pushes later filters below it.
     """
     _check_sources(bronze, table)
-    return bronze.select(*[contract_cast(c.source, c.dtype).alias(c.name) for c in table.columns])
+    return bronze.selectExpr(*[f"try_cast({_q(c.source)} AS {c.dtype}) AS {_q(c.name)}" for c in table.columns])
 
 
 def lossy_tags(bronze: DataFrame, table: Table) -> list:
     """One ``lossy_cast:<target>`` tag expression per contract column."""
     _check_sources(bronze, table)
-    types = {f.name: f.dataType for f in bronze.schema.fields}
+    types = {f.name: f.dataType.simpleString() for f in bronze.schema.fields}
     return [
-        tag_when(lossy_cast(c.source, types[c.source], c.dtype), f"lossy_cast:{c.name}")
+        F.expr(f"CASE WHEN {lossy_cast_sql(c.source, types[c.source], c.dtype)} THEN 'lossy_cast:{c.name}' END")
         for c in table.columns
     ]
 

@@ -17,6 +17,7 @@ def get_session(app: str = "tidemark", master: str | None = None, shuffle_partit
         SparkSession.builder.appName(app)
         .master(master or "local[*]")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")

@@ -22,7 +22,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.sources.tables import read_tables
+from tidemark.lazy import LazyMap
+from tidemark.sources.tables import SOURCE_TABLES, read_table
 
 # Ship modes in index order for the derived l_shipmode.
 SHIP_MODES = ("AIR", "FOB", "MAIL", "RAIL", "REG AIR", "SHIP", "TRUCK")
@@ -54,10 +55,13 @@ def derive_partsupp(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def bronze_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All eight TPC-H sources, Bronze-shaped, from a driver data directory."""
-    raw = read_tables(spark, sf_dir)
-    out = dict(raw)
-    out["lineitem"] = with_delivery_columns(raw["lineitem"])
-    out["partsupp"] = derive_partsupp(raw["lineitem"])
-    return {name: out[name] for name in ("region", "nation", "supplier", "customer", "part", "partsupp", "orders", "lineitem")}
+def bronze_sources(spark: SparkSession, sf_dir: str) -> LazyMap[DataFrame]:
+    """All eight TPC-H sources, Bronze-shaped, from a driver data directory.
+    Frames are built on first access, so a query pays plan construction only
+    for the tables it reads."""
+    raw = LazyMap({name: (lambda n=name: read_table(spark, sf_dir, n)) for name in SOURCE_TABLES})
+    builders = {name: (lambda n=name: raw[n]) for name in ("region", "nation", "supplier", "customer", "part", "orders")}
+    builders["partsupp"] = lambda: derive_partsupp(raw["lineitem"])
+    builders["lineitem"] = lambda: with_delivery_columns(raw["lineitem"])
+    order = ("region", "nation", "supplier", "customer", "part", "partsupp", "orders", "lineitem")
+    return LazyMap({name: builders[name] for name in order})
