@@ -11,7 +11,32 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql.types import DataType, StructField, StructType, _parse_datatype_string
+import re
+
+from pyspark.sql.types import (
+    DataType,
+    DateType,
+    DecimalType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
+
+_SIMPLE_TYPES = {"BIGINT": LongType(), "INT": IntegerType(), "STRING": StringType(), "DATE": DateType(), "TIMESTAMP": TimestampType()}
+
+
+def spark_type(dtype: str) -> DataType:
+    """Spark type of a contract SQL type name."""
+    key = dtype.strip().upper()
+    if key in _SIMPLE_TYPES:
+        return _SIMPLE_TYPES[key]
+    m = re.fullmatch(r"DECIMAL\(\s*(\d+)\s*,\s*(\d+)\s*\)", key)
+    if m:
+        return DecimalType(int(m.group(1)), int(m.group(2)))
+    raise ValueError(f"unsupported contract type: {dtype}")
 
 
 @dataclass(frozen=True)
@@ -23,7 +48,7 @@ class Column:
 
     @property
     def spark_type(self) -> DataType:
-        return _parse_datatype_string(self.dtype)
+        return spark_type(self.dtype)
 
 
 @dataclass(frozen=True)

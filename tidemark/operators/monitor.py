@@ -18,24 +18,34 @@ ABSOLUTE_THRESHOLD_PCT = 65.0
 MOM_SPIKE_THRESHOLD = 5.0
 
 
-def compute_monthly_delay_rate(lineitem: DataFrame) -> DataFrame:
-    """Per receipt month: receipts, delayed items, rounded delay rate, the
-    previous present month's rounded rate and the change in points (rounded
-    again). Lag is over present rows: a gap month is skipped, and a null
-    receipt month sorts first and precedes the first real month."""
-    monthly = (
-        lineitem.groupBy(month_of("receipt_date").alias("receipt_month"))
-        .agg(F.count(F.lit(1)).alias("total_receipts"), F.sum(is_delayed()).alias("delayed_items"))
-        .withColumn("delay_rate_pct", rate_pct("delayed_items", "total_receipts"))
+def monthly_delay_counts(lineitem: DataFrame) -> DataFrame:
+    """Receipts and delayed items per receipt month (mergeable counts: the
+    part a streaming query keeps in state)."""
+    return lineitem.groupBy(month_of("receipt_date").alias("receipt_month")).agg(
+        F.count(F.lit(1)).alias("total_receipts"), F.sum(is_delayed()).alias("delayed_items")
     )
+
+
+def with_rate_and_change(monthly: DataFrame) -> DataFrame:
+    """Rounded rate, the previous present month's rounded rate and the
+    change in points (rounded again), ordered by month."""
     order = Window.orderBy("receipt_month")
     return (
-        monthly.withColumn("prev_month_rate", F.lag("delay_rate_pct", 1).over(order))
+        monthly.withColumn("delay_rate_pct", rate_pct("delayed_items", "total_receipts"))
+        .withColumn("prev_month_rate", F.lag("delay_rate_pct", 1).over(order))
         .withColumn("rate_change_pct_points", F.round(F.col("delay_rate_pct") - F.col("prev_month_rate"), 2))
         .orderBy("receipt_month")
     )
 
 
+def compute_monthly_delay_rate(lineitem: DataFrame) -> DataFrame:
+    """Per receipt month: receipts, delayed items, rounded delay rate, the
+    previous present month's rounded rate and the change in points. Lag is
+    over present rows: a gap month is skipped, and a null receipt month sorts
+    first and precedes the first real month."""
+    return with_rate_and_change(monthly_delay_counts(lineitem))
+
+
 def check_delay_alert_threshold(
     metrics: DataFrame,
     absolute_threshold_pct: float = ABSOLUTE_THRESHOLD_PCT,

@@ -1 +1 @@
-"""tidemark."""
+"""Structured Streaming forms of the monitoring job."""
