@@ -61,7 +61,7 @@ def group_percentiles(
     aggs = [
         F.min(
             F.when(
-                F.col(value).isNotNull() & (F.col("__cum") / F.col("__total") >= F.lit(p)),
+                F.col(value).isNotNull() & (F.try_divide(F.col("__cum"), F.col("__total")) >= F.lit(p)),
                 F.col(value),
             )
         ).alias(a)
@@ -70,7 +70,7 @@ def group_percentiles(
     if mean_alias:
         # sum(value * n) / sum(n) over non-null values equals avg(value).
         weighted = F.sum(F.col(value).cast("double") * F.col("__n"))
-        aggs.append((weighted / F.sum(F.when(F.col(value).isNotNull(), F.col("__n")))).alias(mean_alias))
+        aggs.append(F.try_divide(weighted, F.sum(F.when(F.col(value).isNotNull(), F.col("__n")))).alias(mean_alias))
     if count_alias:
         aggs.append(F.sum("__n").alias(count_alias))
     return ranked.groupBy(*group_cols).agg(*aggs)

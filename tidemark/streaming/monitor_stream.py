@@ -51,12 +51,15 @@ def start_delay_monitor(
     counts = monthly_delay_counts(lines)
 
     def publish(batch: DataFrame, epoch_id: int) -> None:
-        metrics = with_rate_and_change(batch)
-        metrics.write.mode("overwrite").saveAsTable(quote(metrics_table))
-        alerts = check_delay_alert_threshold(
-            spark.table(quote(metrics_table)), absolute_threshold_pct, mom_spike_threshold
-        )
-        alerts.write.mode("overwrite").saveAsTable(quote(alerts_table))
+        # ``batch`` is the complete month table: at most one row per month.
+        months = batch.persist()
+        try:
+            metrics = with_rate_and_change(months)
+            metrics.write.mode("overwrite").saveAsTable(quote(metrics_table))
+            alerts = check_delay_alert_threshold(metrics, absolute_threshold_pct, mom_spike_threshold)
+            alerts.write.mode("overwrite").saveAsTable(quote(alerts_table))
+        finally:
+            months.unpersist()
 
     location = checkpoint_location or f"{checkpoint_dir(spark).rstrip('/')}/delay_monitor"
     writer = (
