@@ -9,6 +9,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def preview(df: DataFrame, n: int = 10) -> DataFrame:
+    """The first ``n`` rows (a display preview; the limit is the feature)."""
+    return df.limit(n)
+
+
 def row_count(df: DataFrame, alias: str = "row_count") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(alias))
 
