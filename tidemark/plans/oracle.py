@@ -70,39 +70,39 @@ def _in_list(values) -> str:
     return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
 
 
-def quality_report_sql(rules: dict, contract: Contract = DRIVER_CONTRACT, statuses=ORDER_STATUSES) -> str:
-    """38 per-rule counts as a UNION ALL, each in its plainest SQL form."""
-    parts = []
+def quality_report_sql(rules: dict, contract: Contract = DRIVER_CONTRACT, statuses=ORDER_STATUSES, only=None) -> str:
+    """38 per-rule counts as a UNION ALL, each in its plainest SQL form
+    (``only``: keep the rules of these tables)."""
+    parts: list[tuple[str, str, str]] = []  # (table, rule, FROM ... WHERE ...)
     for t in contract.tables:
         s = f"s_{t.name}"
         req = " OR ".join(f"{c} IS NULL" for c in t.required) or "FALSE"
-        parts.append(f"SELECT '{t.name}' AS table_name, 'required_values' AS rule_name, COUNT(*) AS invalid_rows FROM {s} WHERE {req}")
+        parts.append((t.name, "required_values", f"FROM {s} WHERE {req}"))
         keys = ", ".join(t.primary_key)
-        parts.append(
-            f"SELECT '{t.name}', 'primary_key', COUNT(*) FROM (SELECT COUNT(*) OVER (PARTITION BY {keys}) AS k FROM {s}) WHERE k > 1"
-        )
+        parts.append((t.name, "primary_key", f"FROM (SELECT COUNT(*) OVER (PARTITION BY {keys}) AS k FROM {s}) WHERE k > 1"))
         lossy = " OR ".join(
             f"({c.source} IS NOT NULL AND (TRY_CAST({c.source} AS {_DUCK_TYPES[c.dtype]}) IS NULL"
             f" OR TRY_CAST({c.source} AS {_DUCK_TYPES[c.dtype]}) <> {c.source}))"
             for c in t.columns
         )
-        parts.append(f"SELECT '{t.name}', 'lossless_casts', COUNT(*) FROM b_{t.name} WHERE {lossy}")
+        parts.append((t.name, "lossless_casts", f"FROM b_{t.name} WHERE {lossy}"))
     for fk in contract.foreign_keys:
         cond = " AND ".join(f"p.{k} = c.{k}" for k in fk.keys)
-        parts.append(
-            f"SELECT '{fk.child}', '{fk.rule_name}', COUNT(*) FROM s_{fk.child} c "
-            f"WHERE NOT EXISTS (SELECT 1 FROM s_{fk.parent} p WHERE {cond})"
-        )
+        parts.append((fk.child, fk.rule_name, f"FROM s_{fk.child} c WHERE NOT EXISTS (SELECT 1 FROM s_{fk.parent} p WHERE {cond})"))
     cats = " OR ".join(f"{c} IS NULL OR {c} NOT IN ({_in_list(v)})" for c, v in rules.items())
     parts += [
-        "SELECT 'lineitem', 'date_sequence', COUNT(*) FROM s_lineitem l LEFT JOIN s_orders o ON l.order_key = o.order_key "
-        "WHERE o.order_date IS NULL OR l.ship_date IS NULL OR l.receipt_date IS NULL "
-        "OR o.order_date > l.ship_date OR l.ship_date > l.receipt_date",
-        f"SELECT 'lineitem', 'categories', COUNT(*) FROM s_lineitem WHERE {cats}",
-        f"SELECT 'orders', 'order_status', COUNT(*) FROM s_orders WHERE order_status IS NULL OR order_status NOT IN ({_in_list(statuses)})",
-        "SELECT 'orders', 'nonempty_order', COUNT(*) FROM s_orders o WHERE NOT EXISTS (SELECT 1 FROM s_lineitem l WHERE l.order_key = o.order_key)",
+        ("lineitem", "date_sequence",
+         "FROM s_lineitem l LEFT JOIN s_orders o ON l.order_key = o.order_key "
+         "WHERE o.order_date IS NULL OR l.ship_date IS NULL OR l.receipt_date IS NULL "
+         "OR o.order_date > l.ship_date OR l.ship_date > l.receipt_date"),
+        ("lineitem", "categories", f"FROM s_lineitem WHERE {cats}"),
+        ("orders", "order_status", f"FROM s_orders WHERE order_status IS NULL OR order_status NOT IN ({_in_list(statuses)})"),
+        ("orders", "nonempty_order", "FROM s_orders o WHERE NOT EXISTS (SELECT 1 FROM s_lineitem l WHERE l.order_key = o.order_key)"),
     ]
-    union = "\nUNION ALL ".join(parts)
+    keep = set(only) if only is not None else {t for t, _, _ in parts}
+    union = "\nUNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{r}' AS rule_name, COUNT(*) AS invalid_rows {tail}" for t, r, tail in parts if t in keep
+    )
     body = (
         "SELECT table_name, rule_name, CAST(invalid_rows AS BIGINT) AS invalid_rows, "
         "CASE WHEN invalid_rows > 0 THEN 'FAILED' ELSE 'PASSED' END AS status FROM (\n" + union + "\n)"

@@ -394,6 +394,12 @@ def q_quality_report(spark, d):
     return fused_report(driver_silver(spark, d), DRIVER_CONTRACT, RULES)
 
 
+def q_lineitem_report(spark, d):
+    """The line-item rules alone (required values, primary key, lossless
+    casts, whitelists, four foreign keys, date order) as one fused plan."""
+    return fused_report(driver_silver(spark, d), DRIVER_CONTRACT, RULES, only=["lineitem"])
+
+
 def q_quarantine_lineitem(spark, d):
     frames = rule_frames(driver_silver(spark, d), DRIVER_CONTRACT, RULES)
     q = quarantine_frames(frames)["lineitem"]
@@ -565,6 +571,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "copy_difference": q_copy_difference,
         "copy_delta": q_copy_delta,
         "quality_report": q_quality_report,
+        "lineitem_report": q_lineitem_report,
         "quarantine_lineitem": q_quarantine_lineitem,
         "null_profile": q_null_profile,
         "category_share": q_category_share,
@@ -605,6 +612,7 @@ def oracle_sql() -> dict[str, str]:
         "copy_difference": SQL_COPY_DIFFERENCE,
         "copy_delta": SQL_COPY_DELTA,
         "quality_report": quality_report_sql(RULES),
+        "lineitem_report": quality_report_sql(RULES, only=["lineitem"]),
         "quarantine_lineitem": _quarantine_sql(),
         "null_profile": _null_profile_sql(_RAW_LINEITEM),
         "category_share": SQL_CATEGORY_SHARE,
