@@ -31,12 +31,15 @@ def group_percentiles(
     mean_alias: str | None = None,
     method: str = "exact",
     accuracy: int = 10000,
+    weight_col: str | None = None,
 ) -> DataFrame:
     """One row per group: each alias → percentile of ``value_col`` (nulls
     ignored; null when the group has no non-null value); ``count_alias``
     (optional) → count of all rows, nulls included; ``mean_alias``
-    (optional) → average of the non-null values (DOUBLE)."""
-    if method == "approx":
+    (optional) → average of the non-null values (DOUBLE). ``weight_col``:
+    the input is already a histogram and this column holds each row's
+    multiplicity (exact method only)."""
+    if method == "approx" and weight_col is None:
         aggs = [F.percentile_approx(value_col, p, accuracy).alias(a) for a, p in percentiles.items()]
         if mean_alias:
             aggs.append(F.avg(value_col).alias(mean_alias))
@@ -47,7 +50,8 @@ def group_percentiles(
         raise ValueError(f"unknown percentile method: {method}")
 
     value = "__value"
-    hist = df.groupBy(*group_cols, F.col(value_col).alias(value)).agg(F.count(F.lit(1)).alias("__n"))
+    weight = F.sum(weight_col) if weight_col else F.count(F.lit(1))
+    hist = df.groupBy(*group_cols, F.col(value_col).alias(value)).agg(weight.alias("__n"))
     present = F.when(F.col(value).isNotNull(), F.col("__n")).otherwise(0)
     by_group = Window.partitionBy(*group_cols)
     running = by_group.orderBy(F.col(value).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
