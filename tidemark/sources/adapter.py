@@ -30,17 +30,15 @@ SHIP_MODES = ("AIR", "FOB", "MAIL", "RAIL", "REG AIR", "SHIP", "TRUCK")
 
 
 def with_delivery_columns(lineitem: DataFrame) -> DataFrame:
-    o, p, s, n = (F.col(c) for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
-    ship = F.col("l_shipdate").cast("date")
-    commit_offset = ((p * 31 + s * 17 + n * 7) % 91 - 42).cast("int")
-    receipt_offset = ((o * 13 + p * 5 + n * 11) % 30 + 1).cast("int")
-    mode_index = ((o + p * 3 + n) % 7).cast("int")
-    modes = F.array(*[F.lit(m) for m in SHIP_MODES])
-    return lineitem.select(
+    """Append l_commitdate, l_receiptdate (DATE) and l_shipmode: one
+    projection over the scan, written as SQL expressions (one plan call)."""
+    ship = "CAST(l_shipdate AS DATE)"
+    modes = ", ".join(f"'{m}'" for m in SHIP_MODES)
+    return lineitem.selectExpr(
         "*",
-        F.date_add(ship, commit_offset).alias("l_commitdate"),
-        F.date_add(ship, receipt_offset).alias("l_receiptdate"),
-        F.element_at(modes, mode_index + 1).alias("l_shipmode"),
+        f"date_add({ship}, CAST((l_partkey * 31 + l_suppkey * 17 + l_linenumber * 7) % 91 - 42 AS INT)) AS l_commitdate",
+        f"date_add({ship}, CAST((l_orderkey * 13 + l_partkey * 5 + l_linenumber * 11) % 30 + 1 AS INT)) AS l_receiptdate",
+        f"element_at(array({modes}), CAST((l_orderkey + l_partkey * 3 + l_linenumber) % 7 AS INT) + 1) AS l_shipmode",
     )
 
 
