@@ -18,18 +18,18 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.contract import ORDER_STATUSES, Table
-from tidemark.functions.errors import category_tags, error_array, required_tags, tag_when
+from tidemark.functions.errors import Rule, any_rule, category_tags, error_array, required_tags, tag_when
 from tidemark.sources.rules import check_rules, load_logistics_rules
 
 
-def invalid_rows(df: DataFrame, tags: Sequence[Column]) -> DataFrame:
-    """Rows with at least one non-null tag; ``_quality_errors`` keeps the tags
-    in rule order."""
-    return df.withColumn("_quality_errors", error_array(tags)).filter(F.size("_quality_errors") > 0)
+def invalid_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Rows breaking at least one rule; ``_quality_errors`` lists the broken
+    rules' tags in rule order."""
+    return df.filter(any_rule(rules)).withColumn("_quality_errors", error_array(rules))
 
 
 def validate_required_values(df: DataFrame, table: Table) -> DataFrame:

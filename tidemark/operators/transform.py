@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.contract import Table
 from tidemark.functions.casts import _q, lossy_cast_sql
-from tidemark.functions.errors import error_array
+from tidemark.functions.errors import Rule, any_rule, error_array, tag_when
 
 
 def _check_sources(bronze: DataFrame, table: Table) -> None:
@@ -26,12 +26,12 @@ def transform_table(bronze: DataFrame, table: Table) -> DataFrame:
     return bronze.selectExpr(*[f"try_cast({_q(c.source)} AS {c.dtype}) AS {_q(c.name)}" for c in table.columns])
 
 
-def lossy_tags(bronze: DataFrame, table: Table) -> list:
-    """One ``lossy_cast:<target>`` tag expression per contract column."""
+def lossy_tags(bronze: DataFrame, table: Table) -> list[Rule]:
+    """One ``lossy_cast:<target>`` rule per contract column."""
     _check_sources(bronze, table)
     types = {f.name: f.dataType.simpleString() for f in bronze.schema.fields}
     return [
-        F.expr(f"CASE WHEN {lossy_cast_sql(c.source, types[c.source], c.dtype)} THEN 'lossy_cast:{c.name}' END")
+        tag_when(F.expr(lossy_cast_sql(c.source, types[c.source], c.dtype)), f"lossy_cast:{c.name}")
         for c in table.columns
     ]
 
@@ -40,7 +40,5 @@ def validate_lossless_casts(bronze: DataFrame, table: Table) -> DataFrame:
     """Raw Bronze rows whose non-null values fail or change under the cast,
     with ``_quality_errors`` listing ``lossy_cast:<column>`` per bad column.
     Null input is never a cast violation (that is the required-value rule)."""
-    tags = lossy_tags(bronze, table)
-    return bronze.withColumn("_quality_errors", error_array(tags)).filter(
-        F.size("_quality_errors") > 0
-    )
+    rules = lossy_tags(bronze, table)
+    return bronze.filter(any_rule(rules)).withColumn("_quality_errors", error_array(rules))
