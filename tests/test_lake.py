@@ -18,6 +18,10 @@ def test_end_to_end_on_a_valid_warehouse(spark):
     assert len(results) == 8 and all(r["status"] == "PASS" for r in results)
     validation, counts = run_silver(spark, cfg, run_id="r1")
     assert counts["customer"] == 2
+    from tidemark.plans.publish import publish_summary
+
+    summary = publish_summary(spark, "r1", counts).collect()
+    assert [r.table_name for r in summary] == sorted(counts) and summary[0].run_id == "r1"
     marts = run_gold(spark, cfg)
     assert spark.table(f"{cfg.gold}.order_fulfillment_sla").count() == 1
     monitor = run_monitoring(spark, cfg, raise_alerts=False)

@@ -87,3 +87,15 @@ def test_lossless_property(spark, values):
     flagged = sorted(r.v for r in validate_lossless_casts(df, t).collect())
     expected = sorted(v for v in values if v != v.quantize(Decimal("0.01")))
     assert flagged == expected
+
+
+def test_column_and_sql_forms_of_lossy_cast_agree(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.functions.casts import lossy_cast, lossy_cast_sql
+
+    df = spark.createDataFrame([(1.5,), (2.0,), (None,), (1e30,)], "x DOUBLE")
+    t = df.schema["x"].dataType
+    for target in ("BIGINT", "DECIMAL(18,2)", "INT"):
+        rows = df.select(lossy_cast("x", t, target).alias("a"), F.expr(lossy_cast_sql("x", "double", target)).alias("b")).collect()
+        assert all(r.a == r.b for r in rows), target

@@ -7,11 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
 
-def contract_cast(source: str, dtype: str) -> Column:
-    """try_cast: a value that cannot convert becomes null, even in ANSI mode."""
-    return F.col(source).try_cast(dtype)
-
-
 def lossy_cast(source: str, source_type: DataType, dtype: str) -> Column:
     """True when a non-null value converts to null or does not round-trip to
     the original typed value (decimal rounding, overflow, time-of-day loss)."""

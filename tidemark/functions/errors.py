@@ -44,10 +44,3 @@ def required_tags(columns: Sequence[str]) -> list[Rule]:
 def category_tags(allowed: Mapping[str, Sequence[str]]) -> list[Rule]:
     """Null is invalid; matching is exact and case-sensitive."""
     return [tag_when(F.col(c).isNull() | ~F.col(c).isin(*values), f"category:{c}") for c, values in allowed.items()]
-
-
-def any_of(conditions: Sequence[Column]) -> Column:
-    out = F.lit(False)
-    for cond in conditions:
-        out = out | F.coalesce(cond, F.lit(False))
-    return out
