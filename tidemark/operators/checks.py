@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.contract import ORDER_STATUSES, Table
+from tidemark.operators.joins import join_checked
 from tidemark.functions.errors import Rule, any_rule, category_tags, error_array, required_tags, tag_when
 from tidemark.sources.rules import check_rules, load_logistics_rules
 
@@ -38,11 +39,15 @@ def validate_required_values(df: DataFrame, table: Table) -> DataFrame:
     return invalid_rows(df, required_tags([c for c in table.required if c in df.columns]))
 
 
+def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list]:
+    renamed = right.select(*[F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)])
+    return renamed, [left[k].eqNullSafe(renamed[f"__key_{i}"]) for i, k in enumerate(keys)]
+
+
 def null_safe_key_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Equi-join on ``keys`` where null matches null (``<=>``); the right
     side's key columns are renamed so the result keeps the left schema."""
-    renamed = right.select(*[F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)])
-    cond = [left[k].eqNullSafe(renamed[f"__key_{i}"]) for i, k in enumerate(keys)]
+    renamed, cond = _null_safe(left, right, keys)
     return left.join(renamed, cond, how)
 
 
@@ -56,10 +61,20 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def validate_primary_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def validate_primary_key(df: DataFrame, keys: Sequence[str], checked_broadcast: bool = True) -> DataFrame:
     """Every row of every duplicated key (simple or composite; null keys
-    group together, as in GROUP BY)."""
-    return null_safe_key_join(df, duplicate_keys(df, keys).select(*keys), keys, "left_semi")
+    group together, as in GROUP BY).
+
+    ``checked_broadcast`` (default): the duplicated keys are computed once
+    into the checkpoint folder and counted; if few, the rows are selected
+    with a broadcast semi join (no shuffle of the wide side), else with a
+    shuffle join. This runs the key aggregation eagerly; pass False for a
+    fully lazy plan (Spark then chooses the join from size estimates)."""
+    dups = duplicate_keys(df, keys).select(*keys)
+    if not checked_broadcast:
+        return null_safe_key_join(df, dups, keys, "left_semi")
+    renamed, cond = _null_safe(df, dups, keys)
+    return join_checked(df, renamed, cond, "left_semi")
 
 
 def validate_foreign_key(child: DataFrame, parent: DataFrame, keys: Sequence[str]) -> DataFrame:
