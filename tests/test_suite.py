@@ -106,3 +106,13 @@ def test_quarantine_routes_casts_separately(spark):
     assert _report(v.report)[("partsupp", "lossless_casts")] == (1, "FAILED")
     q = v.quarantine["partsupp_casts"].collect()
     assert q[0]._quality_errors == ["lossy_cast:supply_cost"] and q[0]._validation_rule == "lossless_casts"
+
+
+def test_fused_report_with_brace_and_quote_in_whitelist(spark):
+    bronze = _minimal_bronze(spark)
+    tr = run_silver_transformations(bronze, TPCH_CONTRACT)
+    rules = {"ship_mode": ["AIR", "{odd}", "it's"], "return_flag": ["N"], "line_status": ["O"]}
+    report = _report(fused_report(tr, TPCH_CONTRACT, rules))
+    assert report[("lineitem", "categories")] == (0, "PASSED")
+    rules["ship_mode"] = ["{odd}", "it's"]
+    assert _report(fused_report(tr, TPCH_CONTRACT, rules))[("lineitem", "categories")] == (1, "FAILED")

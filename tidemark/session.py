@@ -33,13 +33,21 @@ def get_session(app: str = "tidemark", master: str | None = None, shuffle_partit
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``. Only when it is
-    unset (local runs, tests) a fresh temporary folder is configured."""
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    """The shared folder named by ``spark.checkpoint.dir``. Only for a local
+    master, and only when it is unset (tests, local runs), a fresh temporary
+    folder is configured; on a cluster an unset folder is an error, never a
+    machine-local fallback."""
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
+            raise RuntimeError("Set spark.checkpoint.dir to a folder shared by the cluster")
         configured = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
-    spark.sparkContext.setCheckpointDir(configured)
+    context = getattr(spark, "sparkContext", None)
+    try:
+        if context is not None:
+            context.setCheckpointDir(configured)
+    except Exception:  # Spark Connect: the server reads spark.checkpoint.dir
+        pass
     return configured
