@@ -116,3 +116,48 @@ def test_fused_report_with_brace_and_quote_in_whitelist(spark):
     assert report[("lineitem", "categories")] == (0, "PASSED")
     rules["ship_mode"] = ["{odd}", "it's"]
     assert _report(fused_report(tr, TPCH_CONTRACT, rules))[("lineitem", "categories")] == (1, "FAILED")
+
+
+def _widen(keys, template, key):
+    """Give every key the template row's other column values."""
+    from pyspark.sql import functions as F
+
+    first = template.first()
+    return keys.select(key, *[F.lit(first[c]).cast(template.schema[c].dataType).alias(c) for c in template.columns if c != key]).select(*template.columns)
+
+
+def test_hot_key_a_third_of_all_rows(spark):
+    """One order key carries a third of all lines (and repeats line
+    numbers): the fused counts equal the per-rule counts."""
+    from pyspark.sql import functions as F
+
+    ids = spark.range(3000)
+    hot = F.col("id") % 3 == 0
+    lines = ids.select(
+        F.when(hot, F.lit(7)).otherwise(F.col("id") + 100).alias("l_orderkey"),
+        (F.col("id") % 50).alias("l_partkey"),
+        (F.col("id") % 10).alias("l_suppkey"),
+        F.when(hot, (F.col("id") % 400).cast("int")).otherwise(F.lit(1)).alias("l_linenumber"),
+        F.lit(1.0).alias("l_quantity"), F.lit(2.5).alias("l_extendedprice"), F.lit(0.05).alias("l_discount"),
+        F.lit(0.0).alias("l_tax"), F.lit("N").alias("l_returnflag"), F.lit("O").alias("l_linestatus"),
+        F.date_add(F.lit("2026-01-05").cast("date"), (F.col("id") % 5).cast("int")).alias("l_shipdate"),
+        F.lit("2026-01-20").cast("date").alias("l_commitdate"),
+        F.date_add(F.lit("2026-01-15").cast("date"), (F.col("id") % 9).cast("int")).alias("l_receiptdate"),
+        F.lit(None).cast("string").alias("l_shipinstruct"), F.lit("AIR").alias("l_shipmode"),
+        F.lit(None).cast("string").alias("l_comment"),
+    )
+    bronze = _minimal_bronze(spark)
+    bronze["lineitem"] = lines
+    order_keys = ids.filter("id % 3 != 0 AND id % 7 != 0").select((F.col("id") + 100).alias("o_orderkey"))
+    order_keys = order_keys.union(spark.createDataFrame([(7,)], "o_orderkey LONG"))
+    bronze["orders"] = _widen(order_keys, bronze["orders"], "o_orderkey")
+    bronze["part"] = _widen(spark.range(50).select(F.col("id").alias("p_partkey")), bronze["part"], "p_partkey")
+    tr = run_silver_transformations(bronze, TPCH_CONTRACT)
+    fused = _report(fused_report(tr, TPCH_CONTRACT))
+    plain = _report(per_rule_report(rule_frames(tr, TPCH_CONTRACT)))
+    assert fused == plain
+    # the hot order repeats line numbers 0..399 (1000 rows); other orders are unique
+    assert fused[("lineitem", "primary_key")][0] == 1000
+    # non-hot lines whose order (id % 7 == 0) was left out of orders are orphans
+    orphans = sum(1 for i in range(3000) if i % 3 != 0 and i % 7 == 0)
+    assert fused[("lineitem", "fk_orders_order_key")] == (orphans, "FAILED")
