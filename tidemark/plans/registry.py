@@ -177,6 +177,28 @@ SQL_DELAY_ALERTS = with_silver(
 )
 
 
+def q_order_facts(spark, d):
+    lines, orders = _lines_orders(spark, d)
+    return marts.order_facts(orders, lines)
+
+
+def q_ship_mode_histogram(spark, d):
+    return marts.ship_mode_histogram(_lines(spark, d))
+
+
+SQL_ORDER_FACTS = with_silver(f"""
+SELECT p.order_key, p.total_lines, p.on_time_lines, p.final_receipt_date, o.order_date, o.order_priority
+FROM (SELECT order_key, COUNT(*) AS total_lines, CAST(SUM({_ON_TIME}) AS BIGINT) AS on_time_lines,
+             MAX(receipt_date) AS final_receipt_date
+      FROM s_lineitem GROUP BY order_key) p
+JOIN s_orders o ON o.order_key = p.order_key""")
+
+SQL_SHIP_MODE_HISTOGRAM = with_silver(f"""
+SELECT ship_mode, CAST({_DAYS.format(a='ship_date', b='receipt_date')} AS INTEGER) AS transit_days,
+       COUNT(*) AS shipments, CAST(SUM({_DELAYED}) AS BIGINT) AS delayed
+FROM s_lineitem GROUP BY 1, 2""")
+
+
 # --------------------------------------------------------------------------- key checks
 def q_pk_duplicates(spark, d):
     t = DRIVER_CONTRACT.table("lineitem")
@@ -556,6 +578,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "priority_speed": q_priority_speed,
         "monthly_delay": q_monthly_delay,
         "delay_alerts": q_delay_alerts,
+        "order_facts": q_order_facts,
+        "ship_mode_histogram": q_ship_mode_histogram,
         "pk_duplicates": q_pk_duplicates,
         "empty_orders": q_empty_orders,
         "date_sequence": q_date_sequence,
@@ -597,6 +621,8 @@ def oracle_sql() -> dict[str, str]:
         "priority_speed": SQL_PRIORITY_SPEED,
         "monthly_delay": SQL_MONTHLY_DELAY,
         "delay_alerts": SQL_DELAY_ALERTS,
+        "order_facts": SQL_ORDER_FACTS,
+        "ship_mode_histogram": SQL_SHIP_MODE_HISTOGRAM,
         "pk_duplicates": SQL_PK_DUPLICATES,
         "empty_orders": SQL_EMPTY_ORDERS,
         "date_sequence": SQL_DATE_SEQUENCE,
