@@ -24,6 +24,7 @@ from tidemark.plans.gold import run_gold_marts
 from tidemark.plans.monitoring import raise_on_alerts, run_delay_monitoring
 from tidemark.plans.publish import publish_gold_marts, publish_silver_tables, record_validation_results
 from tidemark.plans.silver import ValidationResult, run_silver_transformations, validate_silver_tables
+from tidemark.sources.catalog import require_source_format
 from tidemark.sources.tables import quote
 
 
@@ -48,6 +49,8 @@ def run_silver(
     """Transform Bronze, validate, record the audit (always), then gate and
     publish. A failed rule raises after the evidence is recorded."""
     run_id = run_id or str(uuid.uuid4())
+    for t in contract.table_names:
+        require_source_format(spark, f"{config.bronze}.{t}", config.fmt)
     bronze = {t: spark.table(quote(f"{config.bronze}.{t}")) for t in contract.table_names}
     transformed = run_silver_transformations(bronze, contract)
     validation = validate_silver_tables(transformed, contract, rules)

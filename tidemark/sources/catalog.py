@@ -31,6 +31,16 @@ def require_format(spark: SparkSession, name: str, fmt: str, allow_view: bool =
     raise ValueError(f"Refusing to overwrite non-{fmt} {name} (provider: {provider}).")
 
 
+def require_source_format(spark: SparkSession, name: str, fmt: str) -> None:
+    """A source table must exist and be stored in ``fmt`` (views of such
+    tables are accepted)."""
+    provider = table_provider(spark, name)
+    if provider is None:
+        raise ValueError(f"{name}: source table does not exist")
+    if provider not in (fmt.lower(), "view"):
+        raise ValueError(f"{name}: Bronze source must be a {fmt} table (provider: {provider})")
+
+
 def list_tables(spark: SparkSession, namespace: str) -> list[str]:
     """Table names in a namespace (SHOW TABLES)."""
     return sorted(t.name for t in spark.catalog.listTables(namespace))
