@@ -42,3 +42,25 @@ def test_delta_matches_counter(spark, xs, ys):
     got = {(r.r_regionkey, r.r_name): (r.source_count, r.copy_count) for r in multiset_delta(a, b).collect()}
     assert got == expected
     assert contents_equal(a, b) == (ca == cb)
+
+
+def test_fingerprint_compare(spark):
+    from tidemark.operators.copy import fingerprint_delta
+
+    a = spark.createDataFrame([(1, None), (None, 1), (2, 3)], "a LONG, b LONG")
+    b = spark.createDataFrame([(None, 1), (1, None), (2, None)], "a LONG, b LONG")
+    assert not contents_equal(a, b, "fingerprint")
+    assert contents_equal(a, a.select("a", "b"), "fingerprint")
+    # null positions matter: (1, null) and (null, 1) are different rows
+    c = spark.createDataFrame([(1, None)], "a LONG, b LONG")
+    d = spark.createDataFrame([(None, 1)], "a LONG, b LONG")
+    assert fingerprint_delta(c, d).count() == 2
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3), st.sampled_from(["a", "b", None])), max_size=12),
+       st.lists(st.tuples(st.integers(0, 3), st.sampled_from(["a", "b", None])), max_size=12))
+def test_fingerprint_agrees_with_exact(spark, xs, ys):
+    a = spark.createDataFrame(xs, SCHEMA)
+    b = spark.createDataFrame(ys, SCHEMA)
+    assert contents_equal(a, b, "fingerprint") == contents_equal(a, b, "exact")
