@@ -40,3 +40,25 @@ def test_driver_data_is_rejected_with_evidence(spark):
     assert {"date_sequence", "primary_key", "nonempty_order"} <= failed
     assert spark.table(f"{cfg.silver}.quarantine_lineitem").count() > 0
     assert not spark.catalog.tableExists(f"{cfg.silver}.lineitem")
+
+
+def test_bucketed_silver_removes_order_key_shuffles(spark):
+    """Published lineitem/orders bucketed on order_key: the per-order
+    aggregate and the join with orders plan without an exchange."""
+    from tidemark.operators.marts import build_order_fulfillment_sla_mart
+
+    cfg = LakeConfig(prefix="b" + uuid.uuid4().hex[:8], buckets=4)
+    run_bronze(spark, _minimal_bronze(spark), cfg)
+    run_silver(spark, cfg, run_id="r1")
+    lines = spark.table(f"{cfg.silver}.lineitem")
+    orders = spark.table(f"{cfg.silver}.orders")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = build_order_fulfillment_sla_mart(orders, lines)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "SortMergeJoin" in plan
+    assert "hashpartitioning(order_key" not in plan
+    assert build_order_fulfillment_sla_mart(orders, lines).first().total_orders == 1

@@ -56,7 +56,7 @@ def run_silver(
     validation = validate_silver_tables(transformed, contract, rules)
     record_validation_results(spark, validation, run_id, config.silver, config.fmt)
     validation.assert_valid()
-    counts = publish_silver_tables(spark, transformed, validation, contract, config.silver, config.fmt)
+    counts = publish_silver_tables(spark, transformed, validation, contract, config.silver, config.fmt, config.buckets)
     return validation, counts
 
 
