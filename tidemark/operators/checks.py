@@ -77,11 +77,29 @@ def validate_primary_key(df: DataFrame, keys: Sequence[str], checked_broadcast:
     return join_checked(df, renamed, cond, "left_semi")
 
 
-def validate_foreign_key(child: DataFrame, parent: DataFrame, keys: Sequence[str]) -> DataFrame:
+def rows_without_parent(child: DataFrame, parent: DataFrame, keys: Sequence[str], checked_broadcast: bool = True) -> DataFrame:
+    """Rows of ``child`` whose whole key has no match in ``parent`` (a null
+    key never matches).
+
+    ``checked_broadcast`` (default): the orphan *keys* are found first from
+    the two distinct key sets (only keys are shuffled, after map-side
+    de-duplication); they are materialised, counted, and the orphan rows are
+    fetched with a broadcast null-safe semi join when few, else a shuffle
+    join — the wide child is not shuffled in the common case. Pass False for
+    a fully lazy ``left_anti`` join."""
+    parent_keys = parent.select(*keys)
+    if not checked_broadcast:
+        return child.join(parent_keys, list(keys), "left_anti")
+    orphan_keys = child.select(*keys).distinct().join(parent_keys, list(keys), "left_anti")
+    renamed, cond = _null_safe(child, orphan_keys, keys)
+    return join_checked(child, renamed, cond, "left_semi")
+
+
+def validate_foreign_key(child: DataFrame, parent: DataFrame, keys: Sequence[str], checked_broadcast: bool = True) -> DataFrame:
     """Child rows without a parent on the whole (possibly composite) key.
     A null child key never matches, so it is a violation (unlike a SQL
     FOREIGN KEY constraint)."""
-    return child.join(parent.select(*keys), list(keys), "left_anti")
+    return rows_without_parent(child, parent, keys, checked_broadcast)
 
 
 def validate_date_sequence(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
@@ -120,14 +138,14 @@ def validate_order_status(orders: DataFrame, statuses: Sequence[str] = ORDER_STA
     return validate_allowed_values(orders, {"order_status": list(statuses)})
 
 
-def empty_orders(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+def empty_orders(lineitem: DataFrame, orders: DataFrame, checked_broadcast: bool = True) -> DataFrame:
     """Orders without any line (every order needs at least one)."""
-    return orders.join(lineitem.select("order_key"), "order_key", "left_anti")
+    return rows_without_parent(orders, lineitem, ["order_key"], checked_broadcast)
 
 
-def validate_referential_integrity(lineitem: DataFrame, orders: DataFrame) -> dict[str, DataFrame]:
+def validate_referential_integrity(lineitem: DataFrame, orders: DataFrame, checked_broadcast: bool = True) -> dict[str, DataFrame]:
     """Orphan lines and empty orders, side by side; nothing is deleted."""
     return {
-        "orphan_lineitems": validate_foreign_key(lineitem, orders, ["order_key"]),
-        "empty_orders": empty_orders(lineitem, orders),
+        "orphan_lineitems": validate_foreign_key(lineitem, orders, ["order_key"], checked_broadcast),
+        "empty_orders": empty_orders(lineitem, orders, checked_broadcast),
     }

@@ -22,8 +22,8 @@ def post_publish_audit(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     parts = [
         _count("ship_before_order", joined.filter(F.col("ship_date") < F.col("order_date"))),
         _count("receipt_before_ship", lineitem.filter(F.col("receipt_date") < F.col("ship_date"))),
-        _count("orphan_lineitems", checks.validate_foreign_key(lineitem.select("order_key"), orders, ["order_key"])),
-        _count("orders_without_items", checks.empty_orders(lineitem, orders.select("order_key"))),
+        _count("orphan_lineitems", checks.validate_foreign_key(lineitem.select("order_key"), orders, ["order_key"], False)),
+        _count("orders_without_items", checks.empty_orders(lineitem, orders.select("order_key"), False)),
     ]
     return reduce(DataFrame.unionByName, parts)
 
