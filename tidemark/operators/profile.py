@@ -88,3 +88,23 @@ def unexpected_values(df: DataFrame, allowed: Mapping[str, Sequence[str]]) -> Da
     for part in parts[1:]:
         out = out.unionByName(part)
     return out
+
+
+def profile_summary(lineitem: DataFrame) -> DataFrame:
+    """Every scalar profiling figure of typed lines in ONE aggregate (one
+    scan): row count, nulls per column, date ranges, transit-day min / max /
+    average, delayed count and overall delay rate."""
+    transit = F.datediff("receipt_date", "ship_date")
+    delayed = F.when(F.col("receipt_date") > F.col("commit_date"), 1).otherwise(0)
+    aggs = [F.count(F.lit(1)).alias("row_count")]
+    aggs += [F.count(F.when(F.col(c).isNull(), 1)).alias(f"nulls_{c}") for c in lineitem.columns]
+    for c in ("ship_date", "commit_date", "receipt_date"):
+        aggs += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}")]
+    aggs += [
+        F.min(transit).alias("min_transit_days"),
+        F.max(transit).alias("max_transit_days"),
+        F.avg(transit).alias("avg_transit_days"),
+        F.sum(delayed).alias("delayed_items"),
+        F.round(F.avg(delayed) * 100, 2).alias("delay_rate_pct"),
+    ]
+    return lineitem.agg(*aggs)

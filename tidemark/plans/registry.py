@@ -538,6 +538,27 @@ SQL_UNEXPECTED_VALUES = with_silver(
 )
 
 
+def q_lineitem_profile(spark, d):
+    return profile.profile_summary(_lines(spark, d))
+
+
+def _lineitem_profile_sql() -> str:
+    names = DRIVER_CONTRACT.table("lineitem").names
+    parts = ["COUNT(*) AS row_count"]
+    parts += [f"COUNT(CASE WHEN {c} IS NULL THEN 1 END) AS nulls_{c}" for c in names]
+    for c in ("ship_date", "commit_date", "receipt_date"):
+        parts += [f"MIN({c}) AS min_{c}", f"MAX({c}) AS max_{c}"]
+    t = _DAYS.format(a="ship_date", b="receipt_date")
+    parts += [
+        f"CAST(MIN({t}) AS INTEGER) AS min_transit_days",
+        f"CAST(MAX({t}) AS INTEGER) AS max_transit_days",
+        f"AVG({t}) AS avg_transit_days",
+        f"CAST(SUM({_DELAYED}) AS BIGINT) AS delayed_items",
+        f"ROUND(AVG({_DELAYED}) * 100, 2) AS delay_rate_pct",
+    ]
+    return with_silver("SELECT " + ", ".join(parts) + " FROM s_lineitem")
+
+
 def q_row_counts(spark, d):
     sources = bronze_sources(spark, d)
     parts = [profile.row_count(df).select(F.lit(n).alias("table_name"), "row_count") for n, df in sources.items()]
@@ -604,6 +625,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "delay_rate": q_delay_rate,
         "unexpected_values": q_unexpected_values,
         "row_counts": q_row_counts,
+        "lineitem_profile": q_lineitem_profile,
         "temporal_audit": q_temporal_audit,
     }
     for name, args in FK_QUERIES.items():
@@ -647,6 +669,7 @@ def oracle_sql() -> dict[str, str]:
         "delay_rate": SQL_DELAY_RATE,
         "unexpected_values": SQL_UNEXPECTED_VALUES,
         "row_counts": SQL_ROW_COUNTS,
+        "lineitem_profile": _lineitem_profile_sql(),
         "temporal_audit": SQL_TEMPORAL_AUDIT,
     }
     for name, args in FK_QUERIES.items():
