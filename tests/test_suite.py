@@ -161,3 +161,43 @@ def test_hot_key_a_third_of_all_rows(spark):
     # non-hot lines whose order (id % 7 == 0) was left out of orders are orphans
     orphans = sum(1 for i in range(3000) if i % 3 != 0 and i % 7 == 0)
     assert fused[("lineitem", "fk_orders_order_key")] == (orphans, "FAILED")
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_keys = st.one_of(st.none(), st.integers(1, 4))
+_days = st.one_of(st.none(), st.integers(0, 6))
+_line = st.tuples(_keys, st.integers(1, 3), _keys, _keys, _days, _days, _days, st.sampled_from(["AIR", "SHIP", "BAD", None]))
+_order = st.tuples(_keys, _days, st.sampled_from(["O", "F", "X", None]))
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(_line, max_size=12), st.lists(_order, max_size=6))
+def test_fused_equals_per_rule_property(spark, lines, orders):
+    """Random small warehouses with null keys, duplicated orders, null dates
+    and bad categories: both report forms agree on every rule."""
+    from datetime import date, timedelta
+
+    base = date(2026, 1, 1)
+    d = lambda n: None if n is None else base + timedelta(days=n)
+    bronze = _minimal_bronze(spark)
+    li = bronze["lineitem"]
+    tmpl = li.first().asDict()
+    rows = []
+    for ok, ln, pk, sk, ship, commit, receipt, mode in lines:
+        r = dict(tmpl)
+        r.update(l_orderkey=ok, l_linenumber=ln, l_partkey=pk, l_suppkey=sk, l_shipdate=d(ship),
+                 l_commitdate=d(commit), l_receiptdate=d(receipt), l_shipmode=mode)
+        rows.append(tuple(r[c] for c in li.columns))
+    bronze["lineitem"] = spark.createDataFrame(rows, li.schema)
+    o = bronze["orders"]
+    otmpl = o.first().asDict()
+    orows = []
+    for ok, od, status in orders:
+        r = dict(otmpl)
+        r.update(o_orderkey=ok, o_orderdate=d(od), o_orderstatus=status)
+        orows.append(tuple(r[c] for c in o.columns))
+    bronze["orders"] = spark.createDataFrame(orows, o.schema)
+    tr = run_silver_transformations(bronze, TPCH_CONTRACT)
+    assert _report(fused_report(tr, TPCH_CONTRACT)) == _report(per_rule_report(rule_frames(tr, TPCH_CONTRACT)))
