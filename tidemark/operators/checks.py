@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.contract import ORDER_STATUSES, Table
-from tidemark.operators.joins import join_checked
+from tidemark.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, join_checked, materialize
 from tidemark.functions.errors import Rule, any_rule, category_tags, error_array, required_tags, tag_when
 from tidemark.sources.rules import check_rules, load_logistics_rules
 
@@ -102,25 +102,67 @@ def validate_foreign_key(child: DataFrame, parent: DataFrame, keys: Sequence[str
     return rows_without_parent(child, parent, keys, checked_broadcast)
 
 
-def validate_date_sequence(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    """Lines breaking order_date <= ship_date <= receipt_date.
-
-    A missing order or any missing date is an error; commit dates are not
-    checked. Plain left join: a duplicated order key yields one output row per
-    matching order, as the rule's definition requires. Output: the line's
-    columns in their original order plus ``_quality_errors``."""
-    line_cols = lineitem.columns
-    od = orders.select(F.col("order_key").alias("__order_key"), F.col("order_date").alias("__order_date"))
-    joined = lineitem.join(od, lineitem["order_key"] == od["__order_key"], "left")
-    order_date = F.col("__order_date")
-    tags = [
+def _date_rules(order_date) -> list[Rule]:
+    return [
         tag_when(order_date.isNull(), "missing_order_date"),
         tag_when(F.col("ship_date").isNull(), "missing_ship_date"),
         tag_when(F.col("receipt_date").isNull(), "missing_receipt_date"),
         tag_when(order_date > F.col("ship_date"), "ship_before_order"),
         tag_when(F.col("ship_date") > F.col("receipt_date"), "receipt_before_ship"),
     ]
-    return invalid_rows(joined, tags).select(*line_cols, "_quality_errors")
+
+
+def _order_dates(orders: DataFrame) -> DataFrame:
+    return orders.select(F.col("order_key").alias("__order_key"), F.col("order_date").alias("__order_date"))
+
+
+def validate_date_sequence(
+    lineitem: DataFrame,
+    orders: DataFrame,
+    checked_broadcast: bool = False,
+    max_keys: int = DEFAULT_MAX_BROADCAST_ROWS,
+) -> DataFrame:
+    """Lines breaking order_date <= ship_date <= receipt_date.
+
+    A missing order or any missing date is an error; commit dates are not
+    checked. Plain left-join semantics: a duplicated order key yields one
+    output row per matching order, as the rule's definition requires.
+    Output: the line's columns in their original order plus
+    ``_quality_errors``.
+
+    Default: one plain left join (the wide line table is shuffled on
+    ``order_key`` unless ``orders`` is broadcast). ``checked_broadcast=True``
+    suits workloads where violations are rare: a narrow first pass (three
+    line columns joined with order dates) finds the order keys with any
+    violation; if the count proves them few, the candidate lines and those
+    keys' orders are fetched with checked broadcasts and tagged exactly, so
+    the wide table is not shuffled; otherwise it falls back to the plain
+    join. With common violations the extra passes cost more than they save
+    (measured: 4.4 s against 1.8 s at sf0.1, where half the lines fail)."""
+    line_cols = lineitem.columns
+    od = _order_dates(orders)
+
+    def tagged(lines: DataFrame, dates: DataFrame, join=None) -> DataFrame:
+        cond = lines["order_key"] == dates["__order_key"]
+        joined = join(lines, dates, [cond]) if join else lines.join(dates, cond, "left")
+        return invalid_rows(joined, _date_rules(F.col("__order_date"))).select(*line_cols, "_quality_errors")
+
+    if not checked_broadcast:
+        return tagged(lineitem, od)
+    narrow = lineitem.select("order_key", "ship_date", "receipt_date")
+    bad_keys = (
+        narrow.join(od, narrow["order_key"] == od["__order_key"], "left")
+        .filter(any_rule(_date_rules(F.col("__order_date"))))
+        .select("order_key")
+        .distinct()
+    )
+    bad_keys = materialize(bad_keys)
+    if bad_keys.count() > max_keys:
+        return tagged(lineitem, od)
+    renamed, cond = _null_safe(lineitem, bad_keys, ["order_key"])
+    candidates = lineitem.join(F.broadcast(renamed), cond, "left_semi")
+    bad_od = od.join(F.broadcast(bad_keys), od["__order_key"] == bad_keys["order_key"], "left_semi")
+    return tagged(candidates, bad_od, join=lambda lines, dates, c: join_checked(lines, dates, c, "left"))
 
 
 def validate_allowed_values(df: DataFrame, allowed: Mapping[str, Sequence[str]]) -> DataFrame:
