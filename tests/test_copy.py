@@ -29,7 +29,7 @@ def test_column_order_is_part_of_schema(spark):
     assert schema_signature(a) != schema_signature(b)
 
 
-@settings(max_examples=15, deadline=None)
+@settings(max_examples=8, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 3), st.sampled_from(["a", "b", None])), max_size=12),
        st.lists(st.tuples(st.integers(0, 3), st.sampled_from(["a", "b", None])), max_size=12))
 def test_delta_matches_counter(spark, xs, ys):
@@ -57,7 +57,7 @@ def test_fingerprint_compare(spark):
     assert fingerprint_delta(c, d).count() == 2
 
 
-@settings(max_examples=10, deadline=None)
+@settings(max_examples=6, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 3), st.sampled_from(["a", "b", None])), max_size=12),
        st.lists(st.tuples(st.integers(0, 3), st.sampled_from(["a", "b", None])), max_size=12))
 def test_fingerprint_agrees_with_exact(spark, xs, ys):

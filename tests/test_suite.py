@@ -172,7 +172,7 @@ _line = st.tuples(_keys, st.integers(1, 3), _keys, _keys, _days, _days, _days, s
 _order = st.tuples(_keys, _days, st.sampled_from(["O", "F", "X", None]))
 
 
-@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(_line, max_size=12), st.lists(_order, max_size=6))
 def test_fused_equals_per_rule_property(spark, lines, orders):
     """Random small warehouses with null keys, duplicated orders, null dates
