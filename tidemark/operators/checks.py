@@ -61,7 +61,9 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def validate_primary_key(df: DataFrame, keys: Sequence[str], checked_broadcast: bool = True) -> DataFrame:
+def validate_primary_key(
+    df: DataFrame, keys: Sequence[str], checked_broadcast: bool = True, known_small: bool = False
+) -> DataFrame:
     """Every row of every duplicated key (simple or composite; null keys
     group together, as in GROUP BY).
 
@@ -69,15 +71,22 @@ def validate_primary_key(df: DataFrame, keys: Sequence[str], checked_broadcast:
     into the checkpoint folder and counted; if few, the rows are selected
     with a broadcast semi join (no shuffle of the wide side), else with a
     shuffle join. This runs the key aggregation eagerly; pass False for a
-    fully lazy plan (Spark then chooses the join from size estimates)."""
+    fully lazy plan (Spark then chooses the join from size estimates).
+    ``known_small``: the caller has proven the duplicated keys few (e.g. from
+    the recorded report count): broadcast them without the extra count."""
     dups = duplicate_keys(df, keys).select(*keys)
+    if known_small:
+        renamed, cond = _null_safe(df, dups, keys)
+        return df.join(F.broadcast(renamed), cond, "left_semi")
     if not checked_broadcast:
         return null_safe_key_join(df, dups, keys, "left_semi")
     renamed, cond = _null_safe(df, dups, keys)
     return join_checked(df, renamed, cond, "left_semi")
 
 
-def rows_without_parent(child: DataFrame, parent: DataFrame, keys: Sequence[str], checked_broadcast: bool = True) -> DataFrame:
+def rows_without_parent(
+    child: DataFrame, parent: DataFrame, keys: Sequence[str], checked_broadcast: bool = True, known_small: bool = False
+) -> DataFrame:
     """Rows of ``child`` whose whole key has no match in ``parent`` (a null
     key never matches).
 
@@ -86,20 +95,25 @@ def rows_without_parent(child: DataFrame, parent: DataFrame, keys: Sequence[str]
     de-duplication); they are materialised, counted, and the orphan rows are
     fetched with a broadcast null-safe semi join when few, else a shuffle
     join — the wide child is not shuffled in the common case. Pass False for
-    a fully lazy ``left_anti`` join."""
+    a fully lazy ``left_anti`` join. ``known_small``: the orphan keys are
+    proven few by the caller; they are broadcast without the extra count."""
     parent_keys = parent.select(*keys)
-    if not checked_broadcast:
+    if not checked_broadcast and not known_small:
         return child.join(parent_keys, list(keys), "left_anti")
     orphan_keys = child.select(*keys).distinct().join(parent_keys, list(keys), "left_anti")
     renamed, cond = _null_safe(child, orphan_keys, keys)
+    if known_small:
+        return child.join(F.broadcast(renamed), cond, "left_semi")
     return join_checked(child, renamed, cond, "left_semi")
 
 
-def validate_foreign_key(child: DataFrame, parent: DataFrame, keys: Sequence[str], checked_broadcast: bool = True) -> DataFrame:
+def validate_foreign_key(
+    child: DataFrame, parent: DataFrame, keys: Sequence[str], checked_broadcast: bool = True, known_small: bool = False
+) -> DataFrame:
     """Child rows without a parent on the whole (possibly composite) key.
     A null child key never matches, so it is a violation (unlike a SQL
     FOREIGN KEY constraint)."""
-    return rows_without_parent(child, parent, keys, checked_broadcast)
+    return rows_without_parent(child, parent, keys, checked_broadcast, known_small)
 
 
 def _date_rules(order_date) -> list[Rule]:
@@ -180,9 +194,11 @@ def validate_order_status(orders: DataFrame, statuses: Sequence[str] = ORDER_STA
     return validate_allowed_values(orders, {"order_status": list(statuses)})
 
 
-def empty_orders(lineitem: DataFrame, orders: DataFrame, checked_broadcast: bool = True) -> DataFrame:
+def empty_orders(
+    lineitem: DataFrame, orders: DataFrame, checked_broadcast: bool = True, known_small: bool = False
+) -> DataFrame:
     """Orders without any line (every order needs at least one)."""
-    return rows_without_parent(orders, lineitem, ["order_key"], checked_broadcast)
+    return rows_without_parent(orders, lineitem, ["order_key"], checked_broadcast, known_small)
 
 
 def validate_referential_integrity(lineitem: DataFrame, orders: DataFrame, checked_broadcast: bool = True) -> dict[str, DataFrame]:
