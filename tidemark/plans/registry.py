@@ -119,6 +119,10 @@ def q_monthly_delay(spark, d):
     return _as_date(monitor.compute_monthly_delay_rate(_lines(spark, d)), "receipt_month")
 
 
+def q_monthly_delay_counts(spark, d):
+    return _as_date(monitor.monthly_delay_counts(_lines(spark, d)), "receipt_month")
+
+
 def q_delay_alerts(spark, d):
     metrics = monitor.compute_monthly_delay_rate(_lines(spark, d))
     return _as_date(monitor.check_delay_alert_threshold(metrics), "receipt_month")
@@ -174,6 +178,10 @@ FROM (SELECT date_trunc('month', receipt_date) AS m, COUNT(*) AS total_receipts,
       FROM s_lineitem GROUP BY 1)"""
 
 SQL_MONTHLY_DELAY = with_silver(_MONTHLY + " ORDER BY receipt_month NULLS FIRST")
+SQL_MONTHLY_DELAY_COUNTS = with_silver(f"""
+SELECT CAST(date_trunc('month', receipt_date) AS DATE) AS receipt_month, COUNT(*) AS total_receipts,
+       CAST(SUM({_DELAYED}) AS BIGINT) AS delayed_items
+FROM s_lineitem GROUP BY 1""")
 SQL_DELAY_ALERTS = with_silver(
     f"SELECT * FROM ({_MONTHLY}) WHERE delay_rate_pct > 65.0 OR rate_change_pct_points > 5.0 ORDER BY receipt_month"
 )
@@ -596,6 +604,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ship_mode_delays": q_ship_mode_delays,
         "priority_speed": q_priority_speed,
         "monthly_delay": q_monthly_delay,
+        "monthly_delay_counts": q_monthly_delay_counts,
         "delay_alerts": q_delay_alerts,
         "order_facts": q_order_facts,
         "ship_mode_histogram": q_ship_mode_histogram,
@@ -640,6 +649,7 @@ def oracle_sql() -> dict[str, str]:
         "ship_mode_delays": SQL_SHIP_MODE_DELAYS,
         "priority_speed": SQL_PRIORITY_SPEED,
         "monthly_delay": SQL_MONTHLY_DELAY,
+        "monthly_delay_counts": SQL_MONTHLY_DELAY_COUNTS,
         "delay_alerts": SQL_DELAY_ALERTS,
         "order_facts": SQL_ORDER_FACTS,
         "ship_mode_histogram": SQL_SHIP_MODE_HISTOGRAM,

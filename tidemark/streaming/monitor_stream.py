@@ -6,8 +6,10 @@ by the calendar span, not by the data) and, for every micro-batch, turns the
 complete month table into rates, month-over-month change and alerts in
 ``foreachBatch`` — the same functions as the batch job, on a small frame.
 The sink tables are overwritten per batch, so a replayed batch after a
-failure rewrites the same result (idempotent). The checkpoint lives under
-the cluster's shared ``spark.checkpoint.dir``.
+failure rewrites the same result (idempotent); a long-lived reader session
+calls ``spark.catalog.refreshTable`` before re-reading them. The checkpoint
+lives under the cluster's shared ``spark.checkpoint.dir``; a restarted query
+resumes from it and reads only files it has not seen.
 """
 
 from __future__ import annotations
