@@ -10,8 +10,9 @@ class LakeConfig:
     catalog: str = "spark_catalog"
     prefix: str = "tpch"
     fmt: str = "parquet"
-    # Buckets for the order_key-clustered Silver tables (0 = not bucketed).
-    # Size it to the data: about (line-item bytes / 256 MB), e.g. ~4096 at 100 TB.
+    # Buckets for the order_key-clustered Silver tables: 0 = not bucketed,
+    # -1 = sized from the Bronze line-item table (about 256 MB per bucket),
+    # n > 0 = exactly n.
     buckets: int = 0
 
     @property

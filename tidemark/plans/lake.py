@@ -24,7 +24,7 @@ from tidemark.plans.gold import run_gold_marts
 from tidemark.plans.monitoring import raise_on_alerts, run_delay_monitoring
 from tidemark.plans.publish import publish_gold_marts, publish_silver_tables, record_validation_results
 from tidemark.plans.silver import ValidationResult, run_silver_transformations, validate_silver_tables
-from tidemark.sources.catalog import require_source_format
+from tidemark.sources.catalog import bucket_count, require_source_format, table_bytes
 from tidemark.sources.tables import quote
 
 
@@ -56,7 +56,10 @@ def run_silver(
     validation = validate_silver_tables(transformed, contract, rules)
     record_validation_results(spark, validation, run_id, config.silver, config.fmt)
     validation.assert_valid()
-    counts = publish_silver_tables(spark, transformed, validation, contract, config.silver, config.fmt, config.buckets)
+    buckets = config.buckets
+    if buckets < 0:
+        buckets = bucket_count(table_bytes(spark, f"{config.bronze}.lineitem"))
+    counts = publish_silver_tables(spark, transformed, validation, contract, config.silver, config.fmt, buckets)
     return validation, counts
 
 

@@ -48,3 +48,25 @@ def list_tables(spark: SparkSession, namespace: str) -> list[str]:
 
 def create_namespace(spark: SparkSession, namespace: str) -> None:
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quote(namespace)}")
+
+
+def table_bytes(spark: SparkSession, name: str) -> int | None:
+    """On-disk size of a file-based table from its catalog statistics,
+    refreshed with ``ANALYZE TABLE ... NOSCAN`` (file listing, no data read)."""
+    spark.sql(f"ANALYZE TABLE {quote(name)} COMPUTE STATISTICS NOSCAN")
+    for r in spark.sql(f"DESCRIBE TABLE EXTENDED {quote(name)}").collect():
+        if (r.col_name or "").strip() == "Statistics":
+            first = (r.data_type or "").split(" ")[0]
+            return int(first) if first.isdigit() else None
+    return None
+
+
+def bucket_count(size_bytes: int | None, target_bytes: int = 256 << 20, most: int = 1 << 16) -> int:
+    """Buckets so that each holds about ``target_bytes``: a power of two
+    between 1 and ``most``."""
+    if not size_bytes:
+        return 1
+    n = 1
+    while n < most and size_bytes / n > target_bytes:
+        n *= 2
+    return n
