@@ -100,7 +100,12 @@ def rows_without_parent(
     parent_keys = parent.select(*keys)
     if not checked_broadcast and not known_small:
         return child.join(parent_keys, list(keys), "left_anti")
-    orphan_keys = child.select(*keys).distinct().join(parent_keys, list(keys), "left_anti")
+    # Distinct child keys (map-side de-duplication) left-joined to a marker:
+    # a LEFT ANTI join would be pushed below the distinct by the optimizer.
+    hits = parent_keys.distinct().withColumn("__hit", F.lit(1))
+    orphan_keys = (
+        child.select(*keys).distinct().join(hits, list(keys), "left").filter(F.col("__hit").isNull()).select(*keys)
+    )
     renamed, cond = _null_safe(child, orphan_keys, keys)
     if known_small:
         return child.join(F.broadcast(renamed), cond, "left_semi")
