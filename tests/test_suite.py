@@ -201,3 +201,10 @@ def test_fused_equals_per_rule_property(spark, lines, orders):
     bronze["orders"] = spark.createDataFrame(orows, o.schema)
     tr = run_silver_transformations(bronze, TPCH_CONTRACT)
     assert _report(fused_report(tr, TPCH_CONTRACT)) == _report(per_rule_report(rule_frames(tr, TPCH_CONTRACT)))
+
+
+def test_fk_join_forms_agree(spark):
+    tr = registry.driver_silver(spark, SMOKE_DIR)
+    anti = _report(fused_report(tr, DRIVER_CONTRACT, registry.RULES, fk_join="anti"))
+    outer = _report(fused_report(tr, DRIVER_CONTRACT, registry.RULES, fk_join="outer"))
+    assert anti == outer
