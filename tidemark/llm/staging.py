@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.session import checkpoint_dir
 
+#: 64-bit words of a membership filter: 128 KiB, whatever the input.
+FILTER_WORDS = 1 << 14
+
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
@@ -22,3 +26,20 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/staged/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def maybe_among(keys: DataFrame, key: str, value: Column) -> Column:
+    """True for every ``value`` that occurs in ``keys[key]`` and for some
+    others: a bit per hashed key in one array of ``FILTER_WORDS`` longs. For
+    filtering a wide scan before an exact step; its size is fixed, so with
+    very many keys it only lets more rows pass."""
+    bits = FILTER_WORDS * 64
+    slots = keys.select(F.pmod(F.xxhash64(key), F.lit(bits)).alias("s")).distinct()
+    words = slots.groupBy((F.col("s") / 64).cast("long").alias("id")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(pmod(s, 64) AS int))) AS w")
+    )
+    dense = keys.sparkSession.range(FILTER_WORDS).join(words, "id", "left")
+    pairs = F.array_sort(F.collect_list(F.struct("id", F.coalesce("w", F.lit(0).cast("long")).alias("w"))))
+    array = dense.agg(F.transform(pairs, lambda p: p["w"]).alias("words")).scalar()
+    slot = F.pmod(F.xxhash64(value), F.lit(bits))
+    return F.getbit(F.element_at(array, (slot / 64).cast("int") + 1), F.pmod(slot, F.lit(64)).cast("int")) == 1
