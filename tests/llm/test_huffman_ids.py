@@ -39,12 +39,12 @@ def test_query_equals_library_on_odd_texts(spark, tmp_path):
 def test_null_and_repeated_ids_and_empty_table(spark, tmp_path):
     df = spark.createDataFrame([(None, "a b"), (4, "c"), (4, "c d e"), (4, "c")], "doc_id long, text string")
     path = str(tmp_path / "f")
-    op.write_ids(op.encode_ids(df, PATH), path)
+    op.write_ids(op.encode_ids(df, PATH), path, op.id_type(PATH))
     rows = sorted(op.read_ids(spark, path).collect(), key=lambda r: r.start)
     assert [r.doc_id for r in rows] == [None, 4, 4, 4]
     assert [r.start for r in rows] == list(np.cumsum([0] + [len(r.ids) // 4 for r in rows[:-1]]))
     empty = str(tmp_path / "e")
-    op.write_ids(op.encode_ids(df.filter("false"), PATH), empty)
+    op.write_ids(op.encode_ids(df.filter("false"), PATH), empty, op.id_type(PATH))
     assert op.read_ids(spark, empty).count() == 0
 
 

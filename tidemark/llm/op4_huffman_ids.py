@@ -46,6 +46,7 @@ from tidemark.session import checkpoint_dir
 NAME = "op4_huffman_ids"
 ORACLE_SQL = None
 END_ID = 1
+WORD_END = "</w>"
 MAX_BITS = 16
 BLOCK_IDS = 1 << 16
 CHECKPOINT_IDS = 256
@@ -69,14 +70,17 @@ def _tokenizer(path: str):
 
     tok = Tokenizer.from_file(path)
     tok.encode_special_tokens = True  # their strings in a text are ordinary text
-    return tok
+    vocabulary = tok.get_vocab()
+    ends = np.zeros(max(vocabulary.values()) + 1, bool)
+    ends[[i for piece, i in vocabulary.items() if piece.endswith(WORD_END)]] = True
+    return tok, ends
 
 
 class WordEncoder:
     """Ids of distinct words, kept between the batches of a task."""
 
     def __init__(self, path: str):
-        self.tok = _tokenizer(path)
+        self.tok, self.ends = _tokenizer(path)
         self.clear()
 
     def clear(self) -> None:
@@ -91,12 +95,13 @@ class WordEncoder:
         flat, sizes = [self.flat], [np.diff(self.at)]
         for i in range(0, len(new), WORDS_PER_CALL):
             some = new[i : i + WORDS_PER_CALL]
-            got = self.tok.encode(b" ".join(some).decode(), add_special_tokens=False)
-            of = np.array(got.word_ids, np.int64)
-            if len(of) and of[-1] != len(some) - 1:
+            (got,) = self.tok.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)
+            ids = np.array(got.ids, np.uint32)
+            last = np.flatnonzero(self.ends[ids]) + 1  # each word's last id is a word end
+            if len(last) != len(some):
                 raise AssertionError("a word was split by the tokenizer's own pattern")
-            flat.append(np.array(got.ids, np.uint32))
-            sizes.append(np.bincount(of, minlength=len(some)))
+            flat.append(ids)
+            sizes.append(np.diff(last, prepend=0))
         first = len(self.known)
         self.known.update(zip(new, range(first, first + len(new))))
         self.flat = np.concatenate(flat)
@@ -136,15 +141,21 @@ def _odd(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.array(found, np.int64)
 
 
+def id_type(path: str) -> str:
+    """The narrowest little-endian unsigned type for the tokenizer's ids."""
+    return "<u2" if len(_tokenizer(path)[1]) <= 1 << 16 else "<u4"
+
+
 def encode_ids(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int | None = END_ID) -> DataFrame:
-    """``(doc_id, ids)``: little-endian unsigned 32-bit ids of each text."""
+    """``(doc_id, ids)``: the ids of each text as an array of ``id_type``."""
+    kind = id_type(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder(path)
         tail = np.array([] if end_id is None else [end_id], np.uint32)
         for batch in textops.slices(batches, "text", SLICE_BYTES):
             ids, at = encoder.texts(batch.column("text"))
-            rows = [np.concatenate([ids[a:b], tail]).astype("<u4").tobytes() for a, b in zip(at[:-1], at[1:])]
+            rows = [np.concatenate([ids[a:b], tail]).astype(kind).tobytes() for a, b in zip(at[:-1], at[1:])]
             yield pa.record_batch([batch.column("doc_id"), pa.array(rows, pa.binary())], ["doc_id", "ids"])
 
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -258,14 +269,14 @@ class Decoder:
 # ---- files -----------------------------------------------------------------------
 
 
-def count_ids(ids: DataFrame) -> np.ndarray:
+def count_ids(ids: DataFrame, kind: str) -> np.ndarray:
     """How often each id occurs; as many rows as the vocabulary reach the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
             for value in batch.column("ids"):
-                one = np.bincount(np.frombuffer(value.as_buffer(), "<u4"), minlength=len(total))
+                one = np.bincount(np.frombuffer(value.as_buffer(), kind), minlength=len(total))
                 one[: len(total)] += total
                 total = one
         used = np.flatnonzero(total)
@@ -277,10 +288,10 @@ def count_ids(ids: DataFrame) -> np.ndarray:
     return counts
 
 
-def write_ids(ids: DataFrame, path: str, max_bits: int = MAX_BITS) -> None:
-    """Write ``(doc_id, ids)`` in ascending doc_id order."""
+def write_ids(ids: DataFrame, path: str, kind: str = "<u4", max_bits: int = MAX_BITS) -> None:
+    """Write ``(doc_id, ids)``, ids of type ``kind``, in ascending doc_id order."""
     spark = ids.sparkSession
-    lengths = code_lengths(count_ids(ids), max_bits)
+    lengths = code_lengths(count_ids(ids, kind), max_bits)
     codes = canonical_codes(lengths)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,7 +317,7 @@ def write_ids(ids: DataFrame, path: str, max_bits: int = MAX_BITS) -> None:
         for batch in batches:
             for doc, value in zip(batch.column("doc_id").to_pylist(), batch.column("ids")):
                 docs.append(doc)
-                some.append(np.frombuffer(value.as_buffer(), "<u4").copy())
+                some.append(np.frombuffer(value.as_buffer(), kind).astype(np.uint32))
                 size += len(some[-1])
                 if size >= BLOCK_IDS:
                     yield flush()
@@ -326,8 +337,8 @@ def write_ids(ids: DataFrame, path: str, max_bits: int = MAX_BITS) -> None:
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
-    """``(doc_id, start, ids)`` of every document; ``start`` counts the ids
-    of all documents before it."""
+    """``(doc_id, start, ids)`` of every document: its little-endian unsigned
+    32-bit ids; ``start`` counts the ids of all documents before it."""
     book = spark.read.parquet(f"{path}/codebook").toPandas()
     lengths = np.zeros(int(book["id"].max()) + 1 if len(book) else 0, np.uint8)
     lengths[book["id"].to_numpy(np.int64)] = book["bits"]
@@ -359,9 +370,10 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = stage(encode_ids(docs, public_tokenizers.path("word_bpe_49k.json")), "token-ids")
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    ids = stage(encode_ids(docs, tokenizer), "token-ids")
     path = f"{checkpoint_dir(spark).rstrip('/')}/staged/id-files-{uuid.uuid4().hex}"
-    write_ids(ids, path)
+    write_ids(ids, path, id_type(tokenizer))
     return read_ids(spark, path).select(
         "doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
     )
