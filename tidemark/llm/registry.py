@@ -6,9 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import op1_source_mix, op2_ngram_join, op3_byte_bpe, op4_huffman_ids, op5_language_spans, op6_exact_dedup, op8_kd_topk
-
-MODULES = (op1_source_mix, op2_ngram_join, op3_byte_bpe, op4_huffman_ids, op5_language_spans, op6_exact_dedup, op8_kd_topk)
+from tidemark.llm import (
+    op1_source_mix,
+    op2_ngram_join,
+    op3_byte_bpe,
+    op4_huffman_ids,
+    op5_language_spans,
+    op6_exact_dedup,
+    op7_suffix_dedup,
+    op8_kd_topk,
+)
+
+MODULES = (op1_source_mix, op2_ngram_join, op3_byte_bpe, op4_huffman_ids, op5_language_spans, op6_exact_dedup, op7_suffix_dedup, op8_kd_topk)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
