@@ -66,11 +66,16 @@ def pair_ids(path: str) -> np.ndarray:
     return np.array(rows, np.int64).reshape(-1, 3)
 
 
+def _id_bits(base: int) -> int:
+    return base.bit_length()
+
+
 @cache
 def _lookup(path: str) -> tuple[list[int], list[int], int, int]:
     """The rank map without collisions: entry (key mod p + shift[key mod r])
-    mod m of ``table`` is key * base + merged id, where key = left * base +
-    right, or -1. Returns (shift, table, p, base)."""
+    mod m of ``table`` is key shifted by the bits of an id, plus the merged
+    id, where key = left * base + right; an unused entry is that of a key that
+    cannot be. Returns (shift, table, p, base)."""
     pairs = pair_ids(path)
     base = max(ranks(path).values()) + 1
     keys = pairs[:, 0] * base + pairs[:, 1]
@@ -89,9 +94,10 @@ def _lookup(path: str) -> tuple[list[int], list[int], int, int]:
     groups.sort(key=len, reverse=True)
     taken = bytearray(m)
     shift = [0] * r
-    table = [-1] * m
+    bits = _id_bits(base)
+    table = [base * base << bits] * m
     slot0 = at.tolist()
-    value = (keys * base + pairs[:, 2]).tolist()
+    value = ((keys << bits) + pairs[:, 2]).tolist()
     number = bucket.tolist()
     for g in map(np.ndarray.tolist, groups):
         slots = [slot0[i] for i in g]
@@ -118,46 +124,57 @@ def with_rank_map(df: DataFrame, path: str, where: Column) -> DataFrame:
     return df.withColumns({n: F.when(where, _constant(df.sparkSession, v)) for n, v in (("__shift", shift), ("__table", table))})
 
 
-def _merged(keys: Column, path: str) -> Column:
-    """Merged id of every key (left * base + right); null without one."""
-    shift, table, p, base = _lookup(path)
-    r, m = len(shift), len(table)
-    found = F.transform(
-        keys,
-        lambda k: F.struct(k.alias("k"), F.get(F.col("__table"), ((k % p + F.get(F.col("__shift"), (k % r).cast("int"))) % m).cast("int")).alias("e")),
-    )
-    # entries are key * base + id, so an entry of another key is out of [0, base)
-    return F.transform(
-        F.transform(found, lambda x: x["e"] - x["k"] * base), lambda i: F.when((i >= 0) & (i < base), i.cast("int"))
-    )
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), body), 0)
 
 
 def fold(symbols: Column, path: str) -> Column:
-    """Ids of one word, given the ids of its bytes, beside the rank map."""
-    base = _lookup(path)[3]
-    n = F.size(symbols)
-    pairs = F.greatest(n - 1, F.lit(0))
-    keys = F.zip_with(F.slice(symbols, 1, pairs), F.slice(symbols, 2, pairs), lambda a, b: a.cast("long") * base + b)
-    start = F.struct(symbols.alias("ids"), _merged(keys, path).alias("next"))
-
-    def step(state: Column, _: Column) -> Column:
-        ids, following = state["ids"], state["next"]
-        best = F.array_min(following)
-        at = F.array_position(following, best).cast("int")
-        left, right = F.get(ids, at - 2), F.get(ids, at + 1)
-        # the two new neighbouring pairs; the one beyond an end of the word has a null key
-        fresh = _merged(F.array(left.cast("long") * base + best, best.cast("long") * base + right), path)
-        merged = F.struct(
-            F.concat(F.slice(ids, 1, at - 1), F.array(best), F.slice(ids, at + 2, F.size(ids))).alias("ids"),
-            F.concat(
-                F.slice(following, 1, F.greatest(at - 2, F.lit(0))),
-                F.slice(fresh, F.when(at > 1, 1).otherwise(2), F.when((at > 1) & right.isNotNull(), 2).when((at > 1) | right.isNotNull(), 1).otherwise(0)),
-                F.slice(following, at + 2, F.size(following)),
-            ).alias("next"),
+    """Ids of one word, given the ids of its bytes, beside the rank map.
+
+    The state has one number per piece: (merged id with the next piece, first
+    byte, id), so that the smallest is the leftmost pair of the lowest rank.
+    """
+    shift, table, p, base = _lookup(path)
+    r, m, bits = len(shift), len(table), _id_bits(base)
+    none, place, ids = 1 << bits, FOLD_BYTES.bit_length(), (1 << bits) - 1
+    up = 1 << (bits + place)
+
+    def merged(k: Column) -> Column:
+        """Merged id of the pair of key left * base + right; ``none`` without one."""
+        slot = (k % p + F.get(F.col("__shift"), (k % r).cast("int"))) % m
+        return F.least(F.get(F.col("__table"), slot.cast("int")).bitwiseXOR(k * (1 << bits)), F.lit(none).cast("long"))
+
+    keys = F.zip_with(symbols, F.slice(symbols, 2, FOLD_BYTES), lambda x, y: x.cast("long") * base + y)
+    start = F.zip_with(symbols, F.transform(keys, merged), lambda x, n: n * up + x)
+    start = F.transform(start, lambda c, i: c + i.cast("long") * (1 << bits))
+
+    def merge(cells: Column, best: Column, at: Column) -> Column:
+        left, right, new = F.get(cells, at - 2), F.get(cells, at + 1), F.shiftright(best, bits + place)
+        pair = F.transform(F.array(left.bitwiseAND(ids) * base + new, new * base + right.bitwiseAND(ids)), merged)
+        changed = _let(
+            pair,
+            lambda n: F.array(
+                left.bitwiseAND(up - 1) + F.get(n, 0) * up,
+                F.get(n, 1) * up + best.bitwiseAND(up - 1 - ids) + new,
+            ),
+        )
+        return F.concat(
+            F.slice(cells, 1, F.greatest(at - 2, F.lit(0))),
+            F.slice(changed, F.when(at > 1, 1).otherwise(2), 2),
+            F.slice(cells, at + 2, FOLD_BYTES),
+        )
+
+    def step(cells: Column, _: Column) -> Column:
+        return _let(
+            F.array_min(cells),
+            lambda best: F.when(best >= none * up, cells).otherwise(
+                _let(F.array_position(cells, best).cast("int"), lambda at: merge(cells, best, at))
+            ),
         )
-        return F.when(best.isNull(), state).otherwise(merged)
 
-    return F.aggregate(F.sequence(F.lit(1), F.greatest(pairs, F.lit(1))), start, step, lambda s: s["ids"])
+    steps = F.sequence(F.lit(1), F.greatest(F.size(symbols) - 1, F.lit(1)))
+    return F.aggregate(steps, start, step, lambda cells: F.transform(cells, lambda c: c.bitwiseAND(ids).cast("int")))
 
 
 def merge_long(word: bytes, known: dict[bytes, int]) -> list[int]:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
     op1_source_mix,
+    op10_pii,
     op2_ngram_join,
     op3_byte_bpe,
     op4_huffman_ids,
@@ -15,9 +16,21 @@ from tidemark.llm import (
     op6_exact_dedup,
     op7_suffix_dedup,
     op8_kd_topk,
+    op9_toxicity,
 )
 
-MODULES = (op1_source_mix, op2_ngram_join, op3_byte_bpe, op4_huffman_ids, op5_language_spans, op6_exact_dedup, op7_suffix_dedup, op8_kd_topk)
+MODULES = (
+    op1_source_mix,
+    op2_ngram_join,
+    op3_byte_bpe,
+    op4_huffman_ids,
+    op5_language_spans,
+    op6_exact_dedup,
+    op7_suffix_dedup,
+    op8_kd_topk,
+    op9_toxicity,
+    op10_pii,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
