@@ -289,6 +289,20 @@ def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return rows.mapInArrow(run, OUT)
 
 
+def keep_known(df: DataFrame, model: Model, least_score: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` with a known language that labels at least
+    ``least_score`` of the letters; all columns as they are."""
+    sent = df.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in textops.slices(batches, text_col, 4 * SLICE_BYTES):
+            parts = [textops.buffers(b.column(text_col)) for b in textops.slices(iter([batch]), text_col, SLICE_BYTES)]
+            langs, scores, _ = label(sent.value, parts)
+            yield batch.filter(pa.array([x != "und" and y >= least_score for x, y in zip(langs, scores)], pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def fit(docs: DataFrame) -> Model:
     """A model from the rows of ``documents`` that are not held out."""
     rows = docs.filter(~held_out(F.col("doc_id"), FOLDS, 0))

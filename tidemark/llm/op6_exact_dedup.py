@@ -9,7 +9,7 @@ of all rows is one row per map task in the aggregate and the stream side of a
 join that AQE can split. No window, no collected group, no text in a shuffle.
 
 The surviving (length, prefix hash) keys reach the content scan as a filter
-of ``FILTER_WORDS`` 64-bit words (fixed size, 128 KiB): a row without its bit
+of fixed size (``staging.maybe_among``, 128 KiB): a row without its bit
 is not read further. At any input size false hits only cost a hash; the last
 grouping decides.
 
@@ -25,11 +25,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.staging import read, stage
+from tidemark.llm.staging import drop_ids, maybe_among, read, stage
 
 NAME = "op6_exact_dedup"
 PREFIX_CHARS = 64
-FILTER_WORDS = 1 << 14
 SPACE = r"[\x20\x09-\x0D]+"
 
 ORACLE_SQL = """
@@ -60,39 +59,16 @@ def _often(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select(*keys)
 
 
-def _filter_words(keys: DataFrame) -> DataFrame:
-    """One row, one array of ``FILTER_WORDS`` longs: the bits of ``__slot``."""
-    words = keys.groupBy((F.col("__slot") / 64).cast("long").alias("id")).agg(
-        F.expr("bit_or(shiftleft(1L, cast(pmod(__slot, 64) AS int))) AS w")
-    )
-    dense = keys.sparkSession.range(FILTER_WORDS).join(words, "id", "left")
-    pairs = F.array_sort(F.collect_list(F.struct("id", F.coalesce("w", F.lit(0).cast("long")).alias("w"))))
-    return dense.agg(F.transform(pairs, lambda p: p["w"]).alias("words"))
-
-
-def _slot(length: Column, prefix: Column) -> Column:
-    return F.pmod(F.xxhash64(length, prefix), F.lit(FILTER_WORDS * 64))
-
-
 def repeated_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every member of a group of at least two equal texts, as
     ``(__id, __sha)``: the rows that survive all three rounds' keys."""
     keys = stage(_keyed(df, id_col, text_col).select("__len", "__pre"), "dedup-keys")
     by_length = keys.join(_often(keys, ["__len"]), "__len", "left_semi")
-    survivors = stage(
-        _often(by_length, ["__len", "__pre"]).withColumn("__slot", _slot(F.col("__len"), F.col("__pre"))),
-        "dedup-survivors",
-    )
-    words = _filter_words(survivors.select("__slot").distinct()).scalar()
-    slot = F.col("__slot")
-    word = F.element_at(words, (slot / 64).cast("int") + 1)
-    hit = F.getbit(word, F.pmod(slot, F.lit(64)).cast("int")) == 1
-    read_again = (
-        _keyed(df, id_col, text_col)
-        .withColumn("__slot", _slot(F.col("__len"), F.col("__pre")))
-        .filter(hit)
-        .select("__id", F.sha2("__t", 256).alias("__sha"))
-    )
+    survivors = _often(by_length, ["__len", "__pre"]).select(F.xxhash64("__len", "__pre").alias("__key"))
+    survivors = stage(survivors, "dedup-survivors")
+    again = _keyed(df, id_col, text_col)
+    again = again.filter(maybe_among(survivors, "__key", F.xxhash64("__len", "__pre")))
+    read_again = again.select("__id", F.sha2("__t", 256).alias("__sha"))
     return stage(read_again, "dedup-hashes")
 
 
@@ -115,7 +91,7 @@ def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     hashes = repeated_texts(df, id_col, text_col)
     losers = hashes.join(_groups(hashes), "__sha").filter(F.col("__id") != F.col("__keep"))
     losers = stage(losers.select(F.col("__id")).distinct(), "dedup-losers")
-    return df.join(losers, df[id_col] == losers["__id"], "left_anti")
+    return drop_ids(df, id_col, losers, "__id")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

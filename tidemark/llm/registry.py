@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
@@ -34,7 +35,7 @@ MODULES = (
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {m.NAME: m.query for m in MODULES}
+    return {m.NAME: m.query for m in MODULES} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -43,3 +43,11 @@ def maybe_among(keys: DataFrame, key: str, value: Column) -> Column:
     array = dense.agg(F.transform(pairs, lambda p: p["w"]).alias("words")).scalar()
     slot = F.pmod(F.xxhash64(value), F.lit(bits))
     return F.getbit(F.element_at(array, (slot / 64).cast("int") + 1), F.pmod(slot, F.lit(64)).cast("int")) == 1
+
+
+def drop_ids(df: DataFrame, id_col: str, ids: DataFrame, key: str) -> DataFrame:
+    """``df`` without the rows whose id is in ``ids[key]``. Only rows that may
+    be among them take part in the join; the others are not shuffled."""
+    among = F.coalesce(maybe_among(ids, key, F.col(id_col)), F.lit(False))
+    asked = df.filter(among)
+    return df.filter(~among).unionByName(asked.join(ids.select(F.col(key).alias("__drop")), F.col(id_col) == F.col("__drop"), "left_anti"))
