@@ -24,12 +24,19 @@ def tables(spark):
 def test_post_publish_audit(tables):
     lines, orders = tables
     audit = {r.check_name: r.violations for r in post_publish_audit(lines, orders).collect()}
-    assert audit == {"ship_before_order": 1, "receipt_before_ship": 1, "orphan_lineitems": 1, "orders_without_items": 1}
+    assert audit == {
+        "unexpected_ship_mode": 0, "unexpected_return_flag": 1, "unexpected_line_status": 0,
+        "ship_before_order": 1, "receipt_before_ship": 1, "orphan_lineitems": 1, "orders_without_items": 1,
+    }
     with pytest.raises(AssertionError, match="orphan_lineitems: 1"):
         assert_audit_clean(post_publish_audit(lines, orders))
     clean_lines = lines.filter("order_key = 1 AND line_number = 2")
     clean_orders = orders.filter("order_key = 1")
     assert_audit_clean(post_publish_audit(clean_lines, clean_orders))
+    with pytest.raises(AssertionError, match="unexpected_ship_mode: 1"):
+        assert_audit_clean(post_publish_audit(clean_lines.replace("SHIP", "CANOE"), clean_orders))
+    plan = post_publish_audit(clean_lines, clean_orders)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1
 
 
 def test_profile_suite(tables):

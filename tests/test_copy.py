@@ -1,7 +1,7 @@
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tidemark.operators.copy import contents_equal, multiset_delta, multiset_difference, schema_signature
+from tidemark.operators.copy import contents_equal, multiset_delta, multiset_difference, schema_signature, verification_summary
 
 SCHEMA = "r_regionkey LONG, r_name STRING"
 
@@ -44,23 +44,18 @@ def test_delta_matches_counter(spark, xs, ys):
     assert contents_equal(a, b) == (ca == cb)
 
 
-def test_fingerprint_compare(spark):
-    from tidemark.operators.copy import fingerprint_delta
+def test_nested_nulls_differ(spark):
+    a = spark.createDataFrame([([None, 1], (1, None))], "a array<int>, s struct<x:int,y:int>")
+    b = spark.createDataFrame([([1, None], (1, None))], a.schema)
+    c = spark.createDataFrame([([None, 1], (None, 1))], a.schema)
+    assert contents_equal(a, a) and not contents_equal(a, b) and not contents_equal(a, c)
 
-    a = spark.createDataFrame([(1, None), (None, 1), (2, 3)], "a LONG, b LONG")
-    b = spark.createDataFrame([(None, 1), (1, None), (2, None)], "a LONG, b LONG")
-    assert not contents_equal(a, b, "fingerprint")
-    assert contents_equal(a, a.select("a", "b"), "fingerprint")
-    # null positions matter: (1, null) and (null, 1) are different rows
-    c = spark.createDataFrame([(1, None)], "a LONG, b LONG")
-    d = spark.createDataFrame([(None, 1)], "a LONG, b LONG")
-    assert fingerprint_delta(c, d).count() == 2
 
-
-@settings(max_examples=6, deadline=None)
-@given(st.lists(st.tuples(st.integers(0, 3), st.sampled_from(["a", "b", None])), max_size=12),
-       st.lists(st.tuples(st.integers(0, 3), st.sampled_from(["a", "b", None])), max_size=12))
-def test_fingerprint_agrees_with_exact(spark, xs, ys):
-    a = spark.createDataFrame(xs, SCHEMA)
-    b = spark.createDataFrame(ys, SCHEMA)
-    assert contents_equal(a, b, "fingerprint") == contents_equal(a, b, "exact")
+def test_difference_repeats_surplus_rows_and_summary_counts_them(spark):
+    a = spark.createDataFrame([(7, "x")] * 5 + [(8, None)], SCHEMA)
+    b = spark.createDataFrame([(7, "x")] * 2 + [(9, "y")], SCHEMA)
+    rows = sorted((r.r_regionkey, r._side) for r in multiset_difference(a, b).collect())
+    assert rows == [(7, "source_only")] * 3 + [(8, "source_only"), (9, "copy_only")]
+    assert tuple(verification_summary(a, b).first()) == (6, 3, 3, False)
+    assert tuple(verification_summary(a, a).first()) == (6, 6, 0, True)
+    assert not verification_summary(a, a.toDF("r_regionkey", "other")).first().equal

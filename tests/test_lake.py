@@ -62,11 +62,3 @@ def test_bucketed_silver_removes_order_key_shuffles(spark):
     assert "SortMergeJoin" in plan
     assert "hashpartitioning(order_key" not in plan
     assert build_order_fulfillment_sla_mart(orders, lines).first().total_orders == 1
-
-
-def test_auto_bucketing(spark):
-    cfg = LakeConfig(prefix="a" + uuid.uuid4().hex[:8], buckets=-1)
-    run_bronze(spark, _minimal_bronze(spark), cfg)
-    run_silver(spark, cfg, run_id="r1")
-    info = {r.col_name.strip(): (r.data_type or "") for r in spark.sql(f"DESCRIBE TABLE EXTENDED {cfg.silver}.lineitem__r1").collect() if r.col_name}
-    assert info.get("Num Buckets") == "1" and "order_key" in info.get("Bucket Columns", "")

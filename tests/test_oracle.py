@@ -10,11 +10,13 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SMOKE_DIR
+from tidemark.plans import registry
 
 NAMES = [
     "transit_time", "order_sla", "ship_mode_delays", "priority_speed", "monthly_delay", "delay_alerts",
     "pk_duplicates", "fk_lineitem_partsupp", "empty_orders", "date_sequence", "quality_report",
     "quarantine_lineitem", "copy_difference", "lossless_events", "unexpected_values", "category_share",
+    "order_status_check", "copy_delta", "copy_verification", "all_marts", "temporal_audit",
 ]
 
 
@@ -43,8 +45,9 @@ def duck():
 
 
 def test_registry_is_complete():
-    assert set(entry.queries()) == set(entry.oracle_sql())
-    assert len(entry.queries()) >= 40
+    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(registry.queries()) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
+    assert len(registry.queries()) >= 49
 
 
 def test_entry_runs(spark):

@@ -12,6 +12,9 @@ Scale notes
   hot key's rows into a single task.
 * Foreign key: ``left_anti`` on the whole key; Spark's size statistics and AQE
   choose broadcast (small parent) or sort-merge (large parent) at run time.
+* Every check is one lazy plan: building it starts no job, and the same plan
+  runs at every size. AQE turns a join into a broadcast join only from the
+  measured bytes of a finished exchange.
 """
 
 from __future__ import annotations
@@ -22,7 +25,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.contract import ORDER_STATUSES, Table
-from tidemark.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, join_checked, materialize
 from tidemark.functions.errors import Rule, any_rule, category_tags, error_array, required_tags, tag_when
 from tidemark.sources.rules import check_rules, load_logistics_rules
 
@@ -39,16 +41,11 @@ def validate_required_values(df: DataFrame, table: Table) -> DataFrame:
     return invalid_rows(df, required_tags([c for c in table.required if c in df.columns]))
 
 
-def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list]:
-    renamed = right.select(*[F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)])
-    return renamed, [left[k].eqNullSafe(renamed[f"__key_{i}"]) for i, k in enumerate(keys)]
-
-
 def null_safe_key_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Equi-join on ``keys`` where null matches null (``<=>``); the right
     side's key columns are renamed so the result keeps the left schema."""
-    renamed, cond = _null_safe(left, right, keys)
-    return left.join(renamed, cond, how)
+    renamed = right.select(*[F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)])
+    return left.join(renamed, [left[k].eqNullSafe(renamed[f"__key_{i}"]) for i, k in enumerate(keys)], how)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -61,64 +58,17 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def validate_primary_key(
-    df: DataFrame, keys: Sequence[str], checked_broadcast: bool = True, known_small: bool = False
-) -> DataFrame:
+def validate_primary_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Every row of every duplicated key (simple or composite; null keys
-    group together, as in GROUP BY).
-
-    ``checked_broadcast`` (default): the duplicated keys are computed once
-    into the checkpoint folder and counted; if few, the rows are selected
-    with a broadcast semi join (no shuffle of the wide side), else with a
-    shuffle join. This runs the key aggregation eagerly; pass False for a
-    fully lazy plan (Spark then chooses the join from size estimates).
-    ``known_small``: the caller has proven the duplicated keys few (e.g. from
-    the recorded report count): broadcast them without the extra count."""
-    dups = duplicate_keys(df, keys).select(*keys)
-    if known_small:
-        renamed, cond = _null_safe(df, dups, keys)
-        return df.join(F.broadcast(renamed), cond, "left_semi")
-    if not checked_broadcast:
-        return null_safe_key_join(df, dups, keys, "left_semi")
-    renamed, cond = _null_safe(df, dups, keys)
-    return join_checked(df, renamed, cond, "left_semi")
-
-
-def rows_without_parent(
-    child: DataFrame, parent: DataFrame, keys: Sequence[str], checked_broadcast: bool = True, known_small: bool = False
-) -> DataFrame:
-    """Rows of ``child`` whose whole key has no match in ``parent`` (a null
-    key never matches).
-
-    ``checked_broadcast`` (default): the orphan *keys* are found first from
-    the two distinct key sets (only keys are shuffled, after map-side
-    de-duplication); they are materialised, counted, and the orphan rows are
-    fetched with a broadcast null-safe semi join when few, else a shuffle
-    join — the wide child is not shuffled in the common case. Pass False for
-    a fully lazy ``left_anti`` join. ``known_small``: the orphan keys are
-    proven few by the caller; they are broadcast without the extra count."""
-    parent_keys = parent.select(*keys)
-    if not checked_broadcast and not known_small:
-        return child.join(parent_keys, list(keys), "left_anti")
-    # Distinct child keys (map-side de-duplication) left-joined to a marker:
-    # a LEFT ANTI join would be pushed below the distinct by the optimizer.
-    hits = parent_keys.distinct().withColumn("__hit", F.lit(1))
-    orphan_keys = (
-        child.select(*keys).distinct().join(hits, list(keys), "left").filter(F.col("__hit").isNull()).select(*keys)
-    )
-    renamed, cond = _null_safe(child, orphan_keys, keys)
-    if known_small:
-        return child.join(F.broadcast(renamed), cond, "left_semi")
-    return join_checked(child, renamed, cond, "left_semi")
+    group together, as in GROUP BY)."""
+    return null_safe_key_join(df, duplicate_keys(df, keys), keys, "left_semi")
 
 
-def validate_foreign_key(
-    child: DataFrame, parent: DataFrame, keys: Sequence[str], checked_broadcast: bool = True, known_small: bool = False
-) -> DataFrame:
+def validate_foreign_key(child: DataFrame, parent: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Child rows without a parent on the whole (possibly composite) key.
     A null child key never matches, so it is a violation (unlike a SQL
     FOREIGN KEY constraint)."""
-    return rows_without_parent(child, parent, keys, checked_broadcast, known_small)
+    return child.join(parent.select(*keys), list(keys), "left_anti")
 
 
 def _date_rules(order_date) -> list[Rule]:
@@ -135,53 +85,17 @@ def _order_dates(orders: DataFrame) -> DataFrame:
     return orders.select(F.col("order_key").alias("__order_key"), F.col("order_date").alias("__order_date"))
 
 
-def validate_date_sequence(
-    lineitem: DataFrame,
-    orders: DataFrame,
-    checked_broadcast: bool = False,
-    max_keys: int = DEFAULT_MAX_BROADCAST_ROWS,
-) -> DataFrame:
+def validate_date_sequence(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """Lines breaking order_date <= ship_date <= receipt_date.
 
     A missing order or any missing date is an error; commit dates are not
     checked. Plain left-join semantics: a duplicated order key yields one
     output row per matching order, as the rule's definition requires.
     Output: the line's columns in their original order plus
-    ``_quality_errors``.
-
-    Default: one plain left join (the wide line table is shuffled on
-    ``order_key`` unless ``orders`` is broadcast). ``checked_broadcast=True``
-    suits workloads where violations are rare: a narrow first pass (three
-    line columns joined with order dates) finds the order keys with any
-    violation; if the count proves them few, the candidate lines and those
-    keys' orders are fetched with checked broadcasts and tagged exactly, so
-    the wide table is not shuffled; otherwise it falls back to the plain
-    join. With common violations the extra passes cost more than they save
-    (measured: 4.4 s against 1.8 s at sf0.1, where half the lines fail)."""
-    line_cols = lineitem.columns
-    od = _order_dates(orders)
-
-    def tagged(lines: DataFrame, dates: DataFrame, join=None) -> DataFrame:
-        cond = lines["order_key"] == dates["__order_key"]
-        joined = join(lines, dates, [cond]) if join else lines.join(dates, cond, "left")
-        return invalid_rows(joined, _date_rules(F.col("__order_date"))).select(*line_cols, "_quality_errors")
-
-    if not checked_broadcast:
-        return tagged(lineitem, od)
-    narrow = lineitem.select("order_key", "ship_date", "receipt_date")
-    bad_keys = (
-        narrow.join(od, narrow["order_key"] == od["__order_key"], "left")
-        .filter(any_rule(_date_rules(F.col("__order_date"))))
-        .select("order_key")
-        .distinct()
-    )
-    bad_keys = materialize(bad_keys)
-    if bad_keys.count() > max_keys:
-        return tagged(lineitem, od)
-    renamed, cond = _null_safe(lineitem, bad_keys, ["order_key"])
-    candidates = lineitem.join(F.broadcast(renamed), cond, "left_semi")
-    bad_od = od.join(F.broadcast(bad_keys), od["__order_key"] == bad_keys["order_key"], "left_semi")
-    return tagged(candidates, bad_od, join=lambda lines, dates, c: join_checked(lines, dates, c, "left"))
+    ``_quality_errors``."""
+    dates = _order_dates(orders)
+    joined = lineitem.join(dates, lineitem["order_key"] == dates["__order_key"], "left")
+    return invalid_rows(joined, _date_rules(F.col("__order_date"))).select(*lineitem.columns, "_quality_errors")
 
 
 def validate_allowed_values(df: DataFrame, allowed: Mapping[str, Sequence[str]]) -> DataFrame:
@@ -199,16 +113,14 @@ def validate_order_status(orders: DataFrame, statuses: Sequence[str] = ORDER_STA
     return validate_allowed_values(orders, {"order_status": list(statuses)})
 
 
-def empty_orders(
-    lineitem: DataFrame, orders: DataFrame, checked_broadcast: bool = True, known_small: bool = False
-) -> DataFrame:
+def empty_orders(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """Orders without any line (every order needs at least one)."""
-    return rows_without_parent(orders, lineitem, ["order_key"], checked_broadcast, known_small)
+    return validate_foreign_key(orders, lineitem, ["order_key"])
 
 
-def validate_referential_integrity(lineitem: DataFrame, orders: DataFrame, checked_broadcast: bool = True) -> dict[str, DataFrame]:
+def validate_referential_integrity(lineitem: DataFrame, orders: DataFrame) -> dict[str, DataFrame]:
     """Orphan lines and empty orders, side by side; nothing is deleted."""
     return {
-        "orphan_lineitems": validate_foreign_key(lineitem, orders, ["order_key"], checked_broadcast),
-        "empty_orders": empty_orders(lineitem, orders, checked_broadcast),
+        "orphan_lineitems": validate_foreign_key(lineitem, orders, ["order_key"]),
+        "empty_orders": empty_orders(lineitem, orders),
     }

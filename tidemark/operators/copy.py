@@ -36,45 +36,25 @@ def multiset_delta(source: DataFrame, copy: DataFrame) -> DataFrame:
 
 
 def multiset_difference(source: DataFrame, copy: DataFrame) -> DataFrame:
-    """EXCEPT ALL in both directions: every surplus row, replicated by its
-    surplus multiplicity, tagged ``_side`` = 'source_only' | 'copy_only'."""
-    copy = _positional(copy, source)
-    return source.exceptAll(copy).withColumn("_side", F.lit("source_only")).unionByName(
-        copy.exceptAll(source).withColumn("_side", F.lit("copy_only"))
-    )
-
-
-def row_fingerprint(df: DataFrame) -> list:
-    """Two independent 64-bit hashes of all columns plus a null-position
-    mask (Spark's hashes skip nulls, so (1, null) and (null, 1) would
-    otherwise hash alike)."""
-    mask = F.concat(*[F.when(F.col(c).isNull(), F.lit("1")).otherwise(F.lit("0")) for c in df.columns])
-    cols = [F.col(c) for c in df.columns] + [mask]
-    return [F.xxhash64(*cols).alias("__h1"), F.xxhash64(F.lit("tidemark"), *cols).alias("__h2")]
+    """Every surplus row of either side as often as it is surplus, tagged
+    ``_side`` = 'source_only' | 'copy_only'. Rows are repeated after the one
+    aggregate of :func:`multiset_delta`, where they are."""
+    surplus = F.col("source_count") - F.col("copy_count")
+    side = F.when(surplus > 0, "source_only").otherwise("copy_only")
+    rows = multiset_delta(source, copy).withColumns({"_side": side, "__copy": F.explode(F.sequence(F.lit(1).cast("long"), F.abs(surplus)))})
+    return rows.drop("source_count", "copy_count", "__copy")
 
 
-def fingerprint_delta(source: DataFrame, copy: DataFrame) -> DataFrame:
-    """Like :func:`multiset_delta`, but grouping 128-bit row fingerprints
-    instead of whole rows: the exchange carries 16 bytes and two counts per
-    distinct row, whatever the row width. Two different rows are confused
-    only if both 64-bit hashes collide (about 2^-128 per pair)."""
-    copy = _positional(copy, source)
-    tagged = source.select(*row_fingerprint(source), F.lit(1).alias("__s"), F.lit(0).alias("__c")).unionAll(
-        copy.select(*row_fingerprint(copy), F.lit(0).alias("__s"), F.lit(1).alias("__c"))
-    )
-    return (
-        tagged.groupBy("__h1", "__h2")
-        .agg(F.sum("__s").alias("source_count"), F.sum("__c").alias("copy_count"))
-        .filter(F.col("source_count") != F.col("copy_count"))
-    )
+def contents_equal(source: DataFrame, copy: DataFrame) -> bool:
+    """Multiset equality of whole rows in one aggregate job."""
+    return multiset_delta(source, copy).isEmpty()
 
 
-def contents_equal(source: DataFrame, copy: DataFrame, method: str = "exact") -> bool:
-    """Multiset equality in one aggregate job: ``exact`` groups whole rows;
-    ``fingerprint`` groups 128-bit row hashes (for very wide or very large
-    copies where shuffling every distinct row is the dominant cost)."""
-    if method == "fingerprint":
-        return fingerprint_delta(source, copy).isEmpty()
-    if method != "exact":
-        raise ValueError(f"unknown comparison method: {method}")
-    return multiset_delta(source, copy).isEmpty()
+def verification_summary(source: DataFrame, copy: DataFrame) -> DataFrame:
+    """One row: rows of both sides, distinct rows whose multiplicity differs,
+    and whether names, types and contents agree."""
+    delta = multiset_delta(source, copy).agg(F.count(F.lit(1)).alias("n")).scalar()
+    rows = source.agg(F.count(F.lit(1)).alias("source_rows"))
+    same = F.lit(schema_signature(source) == schema_signature(copy))
+    out = rows.withColumn("copy_rows", copy.agg(F.count(F.lit(1))).scalar()).withColumn("differing_rows", delta)
+    return out.withColumn("equal", same & (F.col("differing_rows") == 0))

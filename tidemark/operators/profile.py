@@ -1,11 +1,10 @@
-"""Profiling and audit aggregates. Each is one aggregate over one scan; the
-only windows run over already-aggregated, category-sized frames."""
+"""Profiling and audit aggregates: each is one aggregate over one scan."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -30,11 +29,11 @@ def category_counts(df: DataFrame, column: str) -> DataFrame:
 
 def category_share(df: DataFrame, column: str) -> DataFrame:
     """Frequency and percentage of the total, most frequent first. The total
-    comes from a window over the per-category aggregate, not a second scan."""
+    is a subquery over the same per-category aggregate (one scan, one
+    exchange), so categories are never gathered in one task."""
     counts = category_counts(df, column)
-    return counts.withColumn(
-        "share_pct", F.col("count") / F.sum("count").over(Window.partitionBy()) * 100
-    ).orderBy(F.desc("count"))
+    total = counts.agg(F.sum("count")).scalar()
+    return counts.withColumn("share_pct", F.col("count") / total * 100).orderBy(F.desc("count"))
 
 
 def min_max(df: DataFrame, columns: Sequence[str], extra: Sequence = ()) -> DataFrame:
@@ -76,18 +75,14 @@ def overall_delay_rate(lineitem: DataFrame) -> DataFrame:
 
 def unexpected_values(df: DataFrame, allowed: Mapping[str, Sequence[str]]) -> DataFrame:
     """(column_name, value) for every distinct value outside the whitelist;
-    null is reported as unexpected. Distinct runs per column with map-side
-    partial aggregation, so only distinct values are shuffled."""
-    parts = [
-        df.select(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
-        .filter(F.col("value").isNull() | ~F.col("value").isin(*values))
-        .distinct()
+    null is reported as unexpected. One scan: each row gives its unexpected
+    (column, value) pairs, and only distinct pairs are shuffled."""
+    pairs = [
+        F.when(F.col(c).isNull() | ~F.col(c).isin(*values), F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")))
         for c, values in allowed.items()
     ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    found = df.select(F.explode(F.filter(F.array(*pairs), lambda p: p.isNotNull())).alias("p"))
+    return found.select("p.column_name", "p.value").distinct()
 
 
 def profile_summary(lineitem: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ def run_gold_marts(
     lineitem = spark.table(quote(f"{config.silver}.lineitem"))
     if not shared or method != "exact":
         return build_all_marts(orders, lineitem, method)
-    checkpoint_dir(spark)
+    checkpoint_dir(spark)  # spark.cleaner.referenceTracking.cleanCheckpoints removes them with the frames
     hist = ship_mode_histogram(lineitem).checkpoint()
     facts = order_facts(orders, lineitem).checkpoint()
     return marts_from_shared(hist, facts)

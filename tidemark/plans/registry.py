@@ -46,6 +46,9 @@ RESTRICTED_RULES = {
     "line_status": ["O", "F"],
 }
 
+# A policy without the partly filled status, for the same reason.
+RESTRICTED_STATUSES = ["O", "F"]
+
 # Contracts used to exercise the lossless-cast and required-value rules on
 # real data: whole-currency prices, and events at daily grain with integer
 # property codes.
@@ -203,6 +206,19 @@ FROM (SELECT order_key, COUNT(*) AS total_lines, CAST(SUM({_ON_TIME}) AS BIGINT)
       FROM s_lineitem GROUP BY order_key) p
 JOIN s_orders o ON o.order_key = p.order_key""")
 
+SQL_ALL_MARTS = with_silver(f"""
+SELECT 'transit_time_performance' AS mart, ship_mode AS key,
+       CAST(quantile_disc({_DAYS.format(a='ship_date', b='receipt_date')}, 0.5) AS BIGINT) AS total FROM s_lineitem GROUP BY ship_mode
+UNION ALL SELECT 'ship_mode_delays', ship_mode, CAST(SUM({_DELAYED}) AS BIGINT) FROM s_lineitem GROUP BY ship_mode
+UNION ALL SELECT 'order_fulfillment_sla', strftime(date_trunc('month', o.order_date), '%Y-%m-%d %H:%M:%S'),
+                 CAST(SUM(CASE WHEN n = ok THEN 1 ELSE 0 END) AS BIGINT)
+  FROM (SELECT order_key, COUNT(*) AS n, SUM({_ON_TIME}) AS ok FROM s_lineitem GROUP BY order_key) p
+  JOIN s_orders o ON o.order_key = p.order_key GROUP BY 2
+UNION ALL SELECT 'priority_fulfillment_speed', o.order_priority,
+                 CAST(quantile_disc({_DAYS.format(a='o.order_date', b='r')}, 0.5) AS BIGINT)
+  FROM (SELECT order_key, MAX(receipt_date) AS r FROM s_lineitem GROUP BY order_key) f
+  JOIN s_orders o ON o.order_key = f.order_key GROUP BY 2""")
+
 SQL_SHIP_MODE_HISTOGRAM = with_silver(f"""
 SELECT ship_mode, CAST({_DAYS.format(a='ship_date', b='receipt_date')} AS INTEGER) AS transit_days,
        COUNT(*) AS shipments, CAST(SUM({_DELAYED}) AS BIGINT) AS delayed
@@ -287,12 +303,12 @@ def q_invalid_categories_restricted(spark, d):
 
 
 def q_order_status(spark, d):
-    return _joined_errors(checks.validate_order_status(_lines_orders(spark, d)[1]))
+    return _joined_errors(checks.validate_order_status(_lines_orders(spark, d)[1], RESTRICTED_STATUSES))
 
 
 SQL_ORDER_STATUS = with_silver(f"""
 SELECT {orders_cols()}, 'category:order_status' AS quality_errors FROM s_orders
-WHERE order_status IS NULL OR order_status NOT IN ('O', 'F', 'P')""")
+WHERE order_status IS NULL OR order_status NOT IN ('O', 'F')""")
 
 
 def q_required_values(spark, d):
@@ -388,19 +404,16 @@ WHERE quality_errors <> ''"""
 
 
 def _price_copy(spark, d):
-    raw = read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
-    whole = raw.select(
-        "l_orderkey", "l_linenumber", F.col("l_extendedprice").try_cast("bigint").cast("double").alias("l_extendedprice")
-    )
-    return raw, whole
+    raw = read_table(spark, d, "lineitem")
+    return raw, raw.withColumn("l_extendedprice", F.col("l_extendedprice").try_cast("bigint").cast("double"))
 
 
 def q_copy_difference(spark, d):
     return copy.multiset_difference(*_price_copy(spark, d))
 
 
-_PRICE_SRC = "SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem"
-_PRICE_COPY = "SELECT l_orderkey, l_linenumber, CAST(trunc(l_extendedprice) AS DOUBLE) AS l_extendedprice FROM lineitem"
+_PRICE_SRC = "SELECT * FROM lineitem"
+_PRICE_COPY = "SELECT * REPLACE (CAST(trunc(l_extendedprice) AS DOUBLE) AS l_extendedprice) FROM lineitem"
 SQL_COPY_DIFFERENCE = f"""
 SELECT *, 'source_only' AS _side FROM ({_PRICE_SRC} EXCEPT ALL {_PRICE_COPY})
 UNION ALL
@@ -412,13 +425,42 @@ def q_copy_delta(spark, d):
 
 
 SQL_COPY_DELTA = f"""
-SELECT l_orderkey, l_linenumber, l_extendedprice,
-       CAST(SUM(s) AS BIGINT) AS source_count, CAST(SUM(c) AS BIGINT) AS copy_count
+SELECT * EXCLUDE (s, c), CAST(SUM(s) AS BIGINT) AS source_count, CAST(SUM(c) AS BIGINT) AS copy_count
 FROM (SELECT *, 1 AS s, 0 AS c FROM ({_PRICE_SRC}) UNION ALL SELECT *, 0 AS s, 1 AS c FROM ({_PRICE_COPY}))
-GROUP BY l_orderkey, l_linenumber, l_extendedprice
+GROUP BY ALL
 HAVING SUM(s) <> SUM(c)"""
 
 
+def q_copy_verification(spark, d):
+    return copy.verification_summary(*_price_copy(spark, d))
+
+
+SQL_COPY_VERIFICATION = f"""
+SELECT COUNT(*) AS source_rows, (SELECT COUNT(*) FROM ({_PRICE_COPY})) AS copy_rows,
+       (SELECT COUNT(*) FROM ({SQL_COPY_DELTA})) AS differing_rows,
+       (SELECT COUNT(*) FROM ({SQL_COPY_DELTA})) = 0 AS equal
+FROM lineitem"""
+
+
+def q_all_marts(spark, d):
+    """All four marts from the shared intermediates, as (mart, row) rows."""
+    lines, orders = _lines_orders(spark, d)
+    parts = marts.marts_from_shared(marts.ship_mode_histogram(lines), marts.order_facts(orders, lines))
+    rows = [
+        df.select(F.lit(name).alias("mart"), df[df.columns[0]].cast("string").alias("key"), F.col(COUNTED[name]).cast("bigint").alias("total"))
+        for name, df in parts.items()
+    ]
+    return rows[0].unionAll(rows[1]).unionAll(rows[2]).unionAll(rows[3])
+
+
+COUNTED = {
+    "transit_time_performance": "median_transit_days",
+    "order_fulfillment_sla": "fully_on_time_orders",
+    "ship_mode_delays": "delayed_items_count",
+    "priority_fulfillment_speed": "median_fulfillment_days",
+}
+
+
 # --------------------------------------------------------------------------- suite
 def q_quality_report(spark, d):
     return fused_report(driver_silver(spark, d), DRIVER_CONTRACT, RULES)
@@ -583,17 +625,21 @@ SQL_ROW_COUNTS = with_silver(
 
 def q_temporal_audit(spark, d):
     lines, orders = _lines_orders(spark, d)
-    return post_publish_audit(lines, orders)
+    return post_publish_audit(lines, orders, RESTRICTED_RULES)
 
 
 SQL_TEMPORAL_AUDIT = with_silver("""
 SELECT 'ship_before_order' AS check_name, COUNT(*) AS violations
   FROM s_lineitem l JOIN s_orders o ON l.order_key = o.order_key WHERE l.ship_date < o.order_date
+UNION ALL SELECT 'unexpected_' || c, COUNT(*) FILTER (bad) FROM (
+  SELECT unnest(['ship_mode', 'return_flag', 'line_status']) AS c, unnest([{0}]) AS bad FROM s_lineitem) GROUP BY c
 UNION ALL SELECT 'receipt_before_ship', COUNT(*) FROM s_lineitem WHERE receipt_date < ship_date
 UNION ALL SELECT 'orphan_lineitems', COUNT(*) FROM s_lineitem l
   WHERE NOT EXISTS (SELECT 1 FROM s_orders o WHERE o.order_key = l.order_key)
 UNION ALL SELECT 'orders_without_items', COUNT(*) FROM s_orders o
-  WHERE NOT EXISTS (SELECT 1 FROM s_lineitem l WHERE l.order_key = o.order_key)""")
+  WHERE NOT EXISTS (SELECT 1 FROM s_lineitem l WHERE l.order_key = o.order_key)""".format(
+    ", ".join(f"{c} IS NULL OR {c} NOT IN ({_in_list(v)})" for c, v in RESTRICTED_RULES.items())
+))
 
 
 # --------------------------------------------------------------------------- registry
@@ -622,6 +668,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "lossless_events": q_lossless_events,
         "copy_difference": q_copy_difference,
         "copy_delta": q_copy_delta,
+        "copy_verification": q_copy_verification,
+        "all_marts": q_all_marts,
         "quality_report": q_quality_report,
         "lineitem_report": q_lineitem_report,
         "quarantine_lineitem": q_quarantine_lineitem,
@@ -667,6 +715,8 @@ def oracle_sql() -> dict[str, str]:
         "lossless_events": SQL_LOSSLESS_EVENTS,
         "copy_difference": SQL_COPY_DIFFERENCE,
         "copy_delta": SQL_COPY_DELTA,
+        "copy_verification": SQL_COPY_VERIFICATION,
+        "all_marts": SQL_ALL_MARTS,
         "quality_report": quality_report_sql(RULES),
         "lineitem_report": quality_report_sql(RULES, only=["lineitem"]),
         "quarantine_lineitem": _quarantine_sql(),

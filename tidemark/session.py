@@ -33,21 +33,22 @@ def get_session(app: str = "tidemark", master: str | None = None, shuffle_partit
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``. Only for a local
-    master, and only when it is unset (tests, local runs), a fresh temporary
-    folder is configured; on a cluster an unset folder is an error, never a
-    machine-local fallback."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
-            raise RuntimeError("Set spark.checkpoint.dir to a folder shared by the cluster")
-        configured = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    context = getattr(spark, "sparkContext", None)
-    try:
-        if context is not None:
-            context.setCheckpointDir(configured)
-    except Exception:  # Spark Connect: the server reads spark.checkpoint.dir
-        pass
-    return configured
+    """The shared folder for intermediate results: the one the session names
+    in ``spark.checkpoint.dir``, else the one its context was given. Only for
+    a local master without either (tests, local runs) a fresh temporary folder
+    is set; on a cluster that is an error, never a machine-local fallback."""
+    context = spark.sparkContext
+    given = context._jsc.sc().getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        if not given.isDefined():
+            context.setCheckpointDir(named)
+        return named
+    if given.isDefined():
+        return given.get()
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise RuntimeError("Set spark.checkpoint.dir to a folder shared by the cluster")
+    folder = tempfile.mkdtemp(prefix="tidemark-ckpt-")
+    spark.conf.set("spark.checkpoint.dir", folder)
+    context.setCheckpointDir(folder)
+    return folder

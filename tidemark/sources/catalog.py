@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import SparkSession
 
 from tidemark.sources.tables import quote
@@ -50,23 +53,48 @@ def create_namespace(spark: SparkSession, namespace: str) -> None:
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quote(namespace)}")
 
 
-def table_bytes(spark: SparkSession, name: str) -> int | None:
-    """On-disk size of a file-based table from its catalog statistics,
-    refreshed with ``ANALYZE TABLE ... NOSCAN`` (file listing, no data read)."""
-    spark.sql(f"ANALYZE TABLE {quote(name)} COMPUTE STATISTICS NOSCAN")
-    for r in spark.sql(f"DESCRIBE TABLE EXTENDED {quote(name)}").collect():
-        if (r.col_name or "").strip() == "Statistics":
-            first = (r.data_type or "").split(" ")[0]
-            return int(first) if first.isdigit() else None
-    return None
-
-
-def bucket_count(size_bytes: int | None, target_bytes: int = 256 << 20, most: int = 1 << 16) -> int:
-    """Buckets so that each holds about ``target_bytes``: a power of two
-    between 1 and ``most``."""
-    if not size_bytes:
-        return 1
-    n = 1
-    while n < most and size_bytes / n > target_bytes:
-        n *= 2
-    return n
+def resolved_name(spark: SparkSession, namespace: str) -> str:
+    """A namespace with its catalog, lower case: equal for two spellings of
+    the same place."""
+    parts = [p.strip("`").casefold() for p in namespace.split(".")]
+    return ".".join(parts if len(parts) > 1 else [spark.catalog.currentCatalog().casefold(), *parts])
+
+
+def replace_table(spark: SparkSession, name: str, write: Callable[[str], None]) -> None:
+    """Replace a table by what ``write`` puts into a table of the name it is
+    given. The old table stays as it is until the new one is complete, and
+    comes back if it can't take its place; an unfinished one is dropped."""
+    mark = uuid.uuid4().hex[:12]
+    fresh, old = f"{name}__new_{mark}", f"{name}__old_{mark}"
+    try:
+        write(fresh)
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {quote(fresh)}")
+        raise
+    def rename(was: str, to: str) -> None:  # the new name is one of the same catalog, without it
+        spark.sql(f"ALTER TABLE {quote(was)} RENAME TO {quote(*to.split('.')[-2:])}")
+
+    moved = table_exists(spark, name)
+    if moved:
+        rename(name, old)
+    try:
+        rename(fresh, name)
+    except BaseException:
+        if moved:
+            rename(old, name)
+        raise
+    if moved:
+        spark.sql(f"DROP TABLE {quote(old)}")
+
+
+def view_target(spark: SparkSession, name: str) -> str | None:
+    """The table that a view made by ``switch_view`` reads, without its namespace."""
+    if table_provider(spark, name) != "view":
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quote(name)}").collect()
+    text = next((r.data_type or "" for r in rows if (r.col_name or "").strip() == "View Text"), "")
+    return text.strip().rstrip("`").rpartition("`")[2] or None
+
+
+def switch_view(spark: SparkSession, name: str, target: str) -> None:
+    spark.sql(f"CREATE OR REPLACE VIEW {quote(name)} AS SELECT * FROM {quote(target)}")
