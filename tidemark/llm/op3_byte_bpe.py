@@ -72,42 +72,44 @@ def _id_bits(base: int) -> int:
 
 @cache
 def _lookup(path: str) -> tuple[list[int], list[int], int, int]:
-    """The rank map without collisions: entry (key mod p + shift[key mod r])
-    mod m of ``table`` is key shifted by the bits of an id, plus the merged
+    """The rank map without collisions: entry key mod p + shift[key mod r]
+    of ``table`` is key shifted by the bits of an id, plus the merged
     id, where key = left * base + right; an unused entry is that of a key that
     cannot be. Returns (shift, table, p, base)."""
     pairs = pair_ids(path)
     base = max(ranks(path).values()) + 1
     keys = pairs[:, 0] * base + pairs[:, 1]
     n = max(1, len(keys))
-    r, m = n // 3 | 1, int(n * 1.4) | 1
-    for p in range(m, 4 * m, 2):
-        at = (keys % p) % m
+    r, p = n // 3 | 1, int(n * 1.4) | 1
+    while True:  # keys of one bucket must differ modulo p
+        at = keys % p
         order = np.lexsort((at, keys % r))
         b = (keys % r)[order]
         if not ((b[1:] == b[:-1]) & (at[order][1:] == at[order][:-1])).any():
             break
+        p += 2
     bucket = keys % r
     order = np.argsort(bucket, kind="stable")
     edges = np.flatnonzero(np.diff(bucket[order], prepend=-1))
     groups = np.split(order, edges[1:]) if len(keys) else []
     groups.sort(key=len, reverse=True)
-    taken = bytearray(m)
-    shift = [0] * r
     bits = _id_bits(base)
-    table = [base * base << bits] * m
+    table = [0] * p
+    shift = [0] * r
     slot0 = at.tolist()
     value = ((keys << bits) + pairs[:, 2]).tolist()
     number = bucket.tolist()
     for g in map(np.ndarray.tolist, groups):
         slots = [slot0[i] for i in g]
         d = 0
-        while any(taken[(s + d) % m] for s in slots):
+        while any(s + d < len(table) and table[s + d] for s in slots):
             d += 1
+        table += [0] * (max(slots) + d + 1 - len(table))
         shift[number[g[0]]] = d
         for i, s in zip(g, slots):
-            taken[(s + d) % m] = 1
-            table[(s + d) % m] = value[i]
+            table[s + d] = value[i]
+    table += [0] * (p + max(shift) - len(table))
+    table = [v or base * base << bits for v in table]
     return shift, table, p, base
 
 
@@ -136,13 +138,13 @@ def fold(symbols: Column, path: str) -> Column:
     byte, id), so that the smallest is the leftmost pair of the lowest rank.
     """
     shift, table, p, base = _lookup(path)
-    r, m, bits = len(shift), len(table), _id_bits(base)
+    r, bits = len(shift), _id_bits(base)
     none, place, ids = 1 << bits, FOLD_BYTES.bit_length(), (1 << bits) - 1
     up = 1 << (bits + place)
 
     def merged(k: Column) -> Column:
         """Merged id of the pair of key left * base + right; ``none`` without one."""
-        slot = (k % p + F.get(F.col("__shift"), (k % r).cast("int"))) % m
+        slot = k % p + F.get(F.col("__shift"), (k % r).cast("int"))
         return F.least(F.get(F.col("__table"), slot.cast("int")).bitwiseXOR(k * (1 << bits)), F.lit(none).cast("long"))
 
     keys = F.zip_with(symbols, F.slice(symbols, 2, FOLD_BYTES), lambda x, y: x.cast("long") * base + y)
