@@ -54,6 +54,7 @@ GRAM = 200
 SLICE_BYTES = 1 << 20
 PART_ANCHORS = 1 << 18
 PART_DOCUMENTS = 1 << 15
+SORT_DOCUMENTS = 1 << 13
 FLUSH_BYTES = 16 << 20
 END = 256  # a place behind a text's end; equals nothing
 
@@ -204,7 +205,7 @@ def _documents(bits: int):
                 rows.append(zstandard.compress(blob, 1))
             return pa.record_batch([pa.array(numbers, pa.int64()), pa.array(rows, pa.binary())], ["part", "packed"])
 
-        for batch in batches:
+        for batch in textops.slices(batches, "text", SLICE_BYTES // 4):
             for row in batch.to_pylist():
                 text = zstandard.decompress(row["text"])
                 for anchor, at in zip(row["anchors"], row["ats"]):
@@ -216,9 +217,9 @@ def _documents(bits: int):
                         size += len(body) + 150
                     places.append((row["key"], at - before))
                     size += 32
-            if size >= FLUSH_BYTES:
-                yield flush()
-                held, size = {}, 0
+                if size >= FLUSH_BYTES:
+                    yield flush()
+                    held, size = {}, 0
         if held:
             yield flush()
 
@@ -246,11 +247,11 @@ def _intervals(pdf: pd.DataFrame) -> pd.DataFrame:
     by = np.argsort(group, kind="stable")
     cuts = np.flatnonzero(np.diff(group[by], prepend=group[by[0]] - 1, append=group[by[-1]] + 1))
     at = 0
-    while at < len(cuts) - 1:  # whole groups, about PART_DOCUMENTS documents at a time
-        to = max(at + 1, int(np.searchsorted(cuts, cuts[at] + PART_DOCUMENTS, "right")) - 1)
+    while at < len(cuts) - 1:  # whole groups, about SORT_DOCUMENTS documents at a time
+        to = max(at + 1, int(np.searchsorted(cuts, cuts[at] + SORT_DOCUMENTS, "right")) - 1)
         some = by[cuts[at] : cuts[to]]
         at = to
-        symbols = np.full((len(some), DOCUMENT_BYTES), END, np.int32)
+        symbols = np.full((len(some), DOCUMENT_BYTES), END, np.int16)
         for i, j in enumerate(some):
             gap = int.from_bytes(bodies[j][:4], "little")
             symbols[i, gap : gap + len(bodies[j]) - 4] = np.frombuffer(bodies[j], np.uint8, offset=4)

@@ -21,9 +21,13 @@ def mix(x: np.ndarray) -> np.ndarray:
 LETTERS = mix(np.arange(256, dtype=np.uint64) * np.uint64(BASE) + np.uint64(BASE))
 
 
-@cache
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE^i and BASE^-i for i up to n."""
+    """BASE^i and BASE^-i for i up to n at least; kept for few sizes."""
+    return _powers(1 << (max(n, 1) - 1).bit_length())
+
+
+@cache
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     up = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, np.uint64(BASE))]))
     down = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, np.uint64(pow(BASE, -1, 1 << 64)))]))
     return up, down
