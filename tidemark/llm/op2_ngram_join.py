@@ -11,15 +11,15 @@ link when 100 * intersection >= 75 * union. The steps:
 2. A second scan emits the first n - ceil(0.75 n) + 1 shingles of each class.
    Two classes that link share one of them. They are grouped by ranges of the
    hash in packed arrays; only lists of at least two classes go on.
-3. Length filter (0.75 n <= m) and positional filter (the overlap still
-   possible at the shared shingle's positions reaches the needed one). In a
-   first round every member of a list meets the list's first member and its
-   neighbour; in the second only members of different components meet, so a
-   group of thousands of near copies is a few pairs per member, and no link
-   between different components is lost.
-4. Each remaining pair is checked once, on the two texts: first the suffix
-   filter (a bound on the overlap from shingle counts in ``SUFFIX_CELLS``
-   hash ranges), then the exact intersection.
+3. Lists with the same members count once. Length filter (0.75 n <= m) and
+   positional filter (the overlap still possible at the shared shingle's
+   positions reaches the needed one). In a first round every member of a list
+   meets the list's hubs; in the second only members of different components
+   meet, so a group of thousands of near copies is a few pairs per member, and
+   no link between different components is lost.
+4. The suffix filter bounds a pair's overlap by its shingle counts in
+   ``SUFFIX_CELLS`` hash ranges; what remains is checked once per pair by the
+   exact intersection of the two texts' sets.
 
 A text travels compressed, and only texts of listed classes travel. The
 component's id is the smallest document id in it.
@@ -45,6 +45,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import textops
 from tidemark.llm.components import components
+from tidemark.llm.rolling import LETTERS, mix, powers
 from tidemark.llm.staging import maybe_among, read, stage
 
 NAME = "op2_ngram_join"
@@ -54,6 +55,7 @@ CELLS = 1 << 20
 CELL_CHUNK = 1 << 16
 SUFFIX_CELLS = 128
 PART_POSTINGS = 1 << 19
+HUBS = 24
 FLUSH_POSTINGS = 1 << 20
 SLICE_BYTES = 2 << 20
 SPAN = 1 << 20
@@ -77,31 +79,9 @@ FROM s LEFT JOIN r ON s.doc_id = r.doc_id GROUP BY s.doc_id, s
 
 # ---- sets ------------------------------------------------------------------------
 
-_M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_BASE = 0x9E3779B97F4A7C15
-_STEP = np.uint64(0xD6E8FEB86659FD93)
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _M1
-    x = (x ^ (x >> np.uint64(27))) * _M2
-    return x ^ (x >> np.uint64(31))
-
-
-def _letters() -> np.ndarray:
-    low = np.arange(256, dtype=np.uint64)
-    low[65:91] += np.uint64(32)
-    return _mix(low * np.uint64(_BASE) + np.uint64(_BASE))
-
-
-LETTERS = _letters()
-
-
-@cache
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    up = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, np.uint64(_BASE))]))
-    down = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, np.uint64(pow(_BASE, -1, 1 << 64)))]))
-    return up, down
+_STEP, _SALT = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xBF58476D1CE4E5B9)
+#: Bytes' numbers with those of a-z for A-Z.
+FOLDED = np.concatenate([LETTERS[:65], LETTERS[97:123], LETTERS[91:]])
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -111,10 +91,10 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     while at < len(starts):
         to = max(at + 1, int(np.searchsorted(ends, starts[at] + SPAN, "right")))
         begin, end = starts[at], ends[to - 1]
-        up, down = _powers(SPAN if end - begin <= SPAN else int(end - begin))
-        sums = np.concatenate([[np.uint64(0)], np.cumsum(LETTERS[data[begin:end]] * up[: end - begin])])
+        up, down = powers(max(SPAN, int(end - begin)))
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(FOLDED[data[begin:end]] * up[: end - begin])])
         a, b = starts[at:to] - begin, ends[at:to] - begin
-        out[at:to] = _mix((sums[b] - sums[a]) * down[a] + (b - a).astype(np.uint64))
+        out[at:to] = mix((sums[b] - sums[a]) * down[a] + (b - a).astype(np.uint64))
         at = to
     return out
 
@@ -127,7 +107,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     grams = words[:n].copy()
     for k in range(1, WORDS):
         grams = grams * _STEP + words[k : n + k]
-    grams = _mix(grams)
+    grams = mix(grams)
     sets = []
     for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
         if b - a >= WORDS:
@@ -136,7 +116,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
             whole = np.array([b - a], np.uint64)
             for k in range(a, b):
                 whole = whole * _STEP + words[k : k + 1]
-            sets.append(_mix(whole))
+            sets.append(mix(whole))
         else:
             sets.append(np.zeros(0, np.uint64))
     return sets
@@ -144,7 +124,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
 
 def fingerprint(one: np.ndarray) -> tuple[int, int]:
     """128 bits of a set, as two signed longs."""
-    first, second = _mix(one + _M1).sum(dtype=np.uint64), _mix(one ^ _STEP).sum(dtype=np.uint64)
+    first, second = mix(one + _SALT).sum(dtype=np.uint64), mix(one ^ _STEP).sum(dtype=np.uint64)
     return int(first.astype(np.int64)), int((second + np.uint64(len(one))).astype(np.int64))
 
 
@@ -232,18 +212,20 @@ def _postings(counts, part_bits: int):
     return run
 
 
-LIST_SCHEMA = "list long, f1 long, n long, pos long, hub long, before long"
+LIST_SCHEMA = "list long, f1 long, n long, pos long, hub long"
 
 
 def _fits(n, p, m, q) -> np.ndarray:
-    """Length and positional filters, n <= m."""
-    can = np.minimum(p, q) + 1 + np.minimum(n - p, m - q) - 1
-    return (100 * n >= PERCENT * m) & (can >= needed(n, m))
+    """Length and positional filters for sizes n, m and positions p, q."""
+    can = np.minimum(p, q) + np.minimum(n - p, m - q)
+    return (100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m)) & (can >= needed(n, m))
 
 
 def _lists(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Postings of shingles that several classes share, each with the list's
-    first member and the one before it, where the filters let them meet."""
+    """Postings of shingles that several classes share; and, without a list,
+    the distinct pairs of members with their lists' hubs that the filters let
+    meet. Hubs are the ``HUBS`` members of the smallest fingerprints: lists of
+    one group of copies then have few different hubs."""
     columns = ([], [], [], [])
     for packed in pdf["packed"]:
         size = len(packed) // 20
@@ -253,7 +235,7 @@ def _lists(pdf: pd.DataFrame) -> pd.DataFrame:
             c.append(np.frombuffer(packed, kind, size, at))
             at += size * width
     key, f1, n, pos = (np.concatenate(c).astype(np.int64) for c in columns)
-    by = np.lexsort((f1, n, key))
+    by = np.lexsort((f1, key))
     key, f1, n, pos = (c[by] for c in (key, f1, n, pos))
     fresh = np.ones(len(key), bool)
     fresh[1:] = (key[1:] != key[:-1]) | (f1[1:] != f1[:-1])  # copies read by several tasks
@@ -264,50 +246,78 @@ def _lists(pdf: pd.DataFrame) -> pd.DataFrame:
     length = np.diff(np.append(head, len(key)))
     number = np.repeat(np.arange(len(head)), length)
     many = length[number] > 1
-    hub = head[number]
-    own = np.arange(len(key))
-    last = np.maximum(own - 1, hub)
-    to_hub = (own > hub) & _fits(n[hub], pos[hub], n, pos)
-    to_last = (last > hub) & _fits(n[last], pos[last], n, pos)
+    own = np.flatnonzero(many)
+    met = []
+    for k in range(HUBS):
+        own = own[own > head[number[own]] + k]
+        hub = head[number[own]] + k
+        meets = _fits(n[hub], pos[hub], n[own], pos[own])
+        met.append(np.stack([f1[own[meets]], f1[hub[meets]]], 1))
+    met = np.unique(np.concatenate(met), axis=0)
     shared = int(pdf["part"].iloc[0]) << 32 | key
-    out = pd.DataFrame({"list": shared, "f1": f1, "n": n, "pos": pos})
-    out["hub"] = pd.array(np.where(to_hub, f1[hub], 0), dtype="Int64")
-    out["before"] = pd.array(np.where(to_last, f1[last], 0), dtype="Int64")
-    out.loc[~to_hub, "hub"] = pd.NA
-    out.loc[~to_last, "before"] = pd.NA
-    return out[many]
+    lists = pd.DataFrame({"list": shared, "f1": f1, "n": n, "pos": pos})[many]
+    pairs = pd.DataFrame({"f1": met[:, 0], "hub": met[:, 1]})
+    columns = ["list", "f1", "n", "pos", "hub"]
+    return pd.concat([x.reindex(columns=columns).astype("Int64") for x in (lists, pairs)], ignore_index=True)
+
+
+def _same_members(lists: DataFrame) -> DataFrame:
+    """One list of each set of members: the shingles of a shared passage
+    have the same members, and one of them says all about who meets whom."""
+    members = lists.groupBy("list").agg(
+        F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("f1")).alias("x"), F.bit_xor(F.xxhash64("f1", F.lit(1))).alias("y")
+    )
+    return lists.join(members.groupBy("size", "x", "y").agg(F.min("list").alias("list")).select("list"), "list", "left_semi")
+
+
+def suffix_counts(one: np.ndarray) -> np.ndarray:
+    """A set's shingles by hash range."""
+    return np.bincount((one >> np.uint64(64 - (SUFFIX_CELLS - 1).bit_length())).astype(np.int64), minlength=SUFFIX_CELLS)
 
 
 def _pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in textops.slices(batches, "text", SLICE_BYTES):
         data, offsets = textops.buffers(batch.column("text"))
-        prints = [fingerprint(s) for s in shingle_sets(data, offsets)]
-        packed = [zstandard.compress(data[a:b].tobytes(), 1) for a, b in zip(offsets[:-1], offsets[1:])]
+        sets = shingle_sets(data, offsets)
+        prints = [fingerprint(s) for s in sets]
+        cells = [suffix_counts(s).astype("<u4" if len(s) >> 16 else "<u2").tobytes() for s in sets]
+        packed = [zstandard.compress(data[a:b].tobytes(), 3) for a, b in zip(offsets[:-1], offsets[1:])]
         yield pa.record_batch(
-            [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in zip(*prints)), pa.array(packed, pa.binary())], ["doc_id", "f1", "f2", "text"]
-        )
+            [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in zip(*prints)), pa.array([len(s) for s in sets], pa.int64()),
+             pa.array(cells, pa.binary()), pa.array(packed, pa.binary())],
+            ["doc_id", "f1", "f2", "n", "cells", "text"],
+        )
+
+
+def _suffix_filter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose overlap can still reach the needed one: at most the sum of
+    the smaller counts in each hash range."""
+
+    def counts(value: bytes) -> np.ndarray:
+        return np.frombuffer(value, "<u2" if len(value) == 2 * SUFFIX_CELLS else "<u4")
+
+    for batch in batches:
+        rows = batch.to_pylist()
+        can = [int(np.minimum(counts(r["ca"]), counts(r["cb"])).sum()) >= int(needed(r["na"], r["nb"])) for r in rows]
+        yield batch.select(["a", "b"]).filter(pa.array(can, pa.bool_()))
 
 
 def _check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs (a, b, texts) that link, with their overlap."""
 
     @cache
-    def one(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    def one(packed: bytes) -> np.ndarray:
         text = np.frombuffer(zstandard.decompress(packed), np.uint8)
-        own = shingle_sets(text, np.array([0, len(text)]))[0]
-        return own, np.bincount((own >> np.uint64(57)).astype(np.int64), minlength=SUFFIX_CELLS)
+        return shingle_sets(text, np.array([0, len(text)]))[0]
 
     for batch in batches:
         a, b, overlap = [], [], []
         for row in batch.to_pylist():
             if one.cache_info().currsize > 256:
                 one.cache_clear()
-            (x, p), (y, q) = one(row["ta"]), one(row["tb"])
-            need = int(needed(len(x), len(y)))
-            if np.minimum(p, q).sum() < need:
-                continue
+            x, y = one(row["ta"]), one(row["tb"])
             common = len(np.intersect1d(x, y, assume_unique=True))
-            if common >= need:
+            if common >= int(needed(len(x), len(y))):
                 a.append(row["a"])
                 b.append(row["b"])
                 overlap.append(common)
@@ -322,9 +332,11 @@ def _class(f1: str = "f1", f2: str = "f2"):
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    left = texts.select(F.col("class").alias("a"), F.col("text").alias("ta"))
-    right = texts.select(F.col("class").alias("b"), F.col("text").alias("tb"))
-    rows = pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
+    small = texts.select("class", "n", "cells")
+    rows = pairs.join(small.toDF("a", "na", "ca"), "a").join(small.toDF("b", "nb", "cb"), "b")
+    left = stage(rows.select("a", "b", "na", "nb", "ca", "cb").mapInArrow(_suffix_filter, "a string, b string"), "ngram-candidates")
+    whole = texts.select("class", "text")
+    rows = left.join(whole.toDF("a", "ta"), "a").join(whole.toDF("b", "tb"), "b").select("a", "b", "ta", "tb")
     return rows.mapInArrow(_check, "a string, b string, overlap long")
 
 
@@ -346,13 +358,15 @@ def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     total = classes.agg(F.sum(F.expr(f"n div {round(100 / (100 - PERCENT))} + 1"))).first()[0] or 0
     bits = max(0, int(total / PART_POSTINGS).bit_length())
     packed = docs.mapInArrow(_postings(spark.sparkContext.broadcast(counts), bits), "part long, packed binary")
-    lists = stage(packed.groupBy("part").applyInPandas(_lists, LIST_SCHEMA), "ngram-lists")
+    found = stage(packed.groupBy("part").applyInPandas(_lists, LIST_SCHEMA), "ngram-all-lists")
+    hubs = found.filter("hub IS NOT NULL").select(F.col("hub").alias("x"), F.col("f1").alias("y"))
+    lists = stage(_same_members(found.filter("hub IS NULL").drop("hub")), "ngram-lists")
 
     named = classes.select("f1", "class")
     listed = lists.select("f1").distinct().join(classes, "f1").select("class", "rep")
     listed = stage(listed, "ngram-listed")
-    wanted = docs.filter(maybe_among(listed, "rep", F.col("doc_id"))).mapInArrow(_pack_texts, "doc_id long, f1 long, f2 long, text binary")
-    wanted = wanted.select("doc_id", _class().alias("class"), "text")
+    wanted = docs.filter(maybe_among(listed, "rep", F.col("doc_id"))).mapInArrow(_pack_texts, "doc_id long, f1 long, f2 long, n long, cells binary, text binary")
+    wanted = wanted.select("doc_id", _class().alias("class"), "n", "cells", "text")
     same = (wanted["class"] == listed["class"]) & (wanted["doc_id"] == listed["rep"])
     texts = stage(wanted.join(listed, same, "left_semi").dropDuplicates(["class"]), "ngram-texts")
 
@@ -362,8 +376,7 @@ def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         b = a.join(named.select(F.col("f1").alias("y"), F.col("class").alias("q")), "y")
         return b.filter("p != q").select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
 
-    met = lists.select(F.explode(F.array(F.struct(F.col("hub").alias("x"), F.col("f1").alias("y")), F.struct(F.col("before").alias("x"), F.col("f1").alias("y")))).alias("p"))
-    tried = stage(by_class(met.select("p.x", "p.y").filter("x IS NOT NULL")), "ngram-pairs")
+    tried = stage(by_class(hubs), "ngram-pairs")
     links = stage(_verified(tried, texts), "ngram-links")
     roots = components(links.select("a", "b"))
 
