@@ -6,9 +6,9 @@ bytes and, nearest to the window, the words that toxic texts have far more
 often than ordinary ones (by the share of texts, per word beginning). Texts
 are cut into overlapping windows; a window's distance is what the toxic
 dictionary saves over the ordinary one. A logistic model over a text's
-distances (largest, mean, shares and counts above each byte) is fitted on the
-labelled rows and shifted so that the threshold that separates them best lies
-at ``THRESHOLD``.
+distances (largest, mean, shares and counts above each byte) is fitted on a
+third of the labelled rows, whose words the dictionaries have not seen, and
+shifted so that the threshold that separates them best lies at ``THRESHOLD``.
 
 Training reads at most about ``TOXIC_ROWS`` and ``ORDINARY_ROWS`` labelled
 rows, chosen by a hash of the id (whole texts); word counts are taken in
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.op5_language_spans import held_out
-from tidemark.llm.staging import read, stage
+from tidemark.llm.staging import maybe_among, read, stage
 
 NAME = "op9_toxicity"
 ORACLE_SQL = None
@@ -44,7 +44,7 @@ THRESHOLD = 0.3
 TOXIC_ROWS, ORDINARY_ROWS = 3000, 9000
 WINDOW, STRIDE, LEVEL = 64, 32, 9
 BASE_BYTES, WINDOW_SAMPLES, SAMPLE_BYTES = 24_000, 8000, 256
-TOXIC_WORDS, BEGINNING, LEAST_TEXTS, LEAST_RATIO = 80, 5, 3, 30.0
+TOXIC_WORDS, BEGINNING, LEAST_TEXTS, LEAST_RATIO = 100, 4, 3, 30.0
 STEPS = 5
 BLANK = re.compile(rb"[\x00-\x40\x5b-\x60\x7b-\x7f]+")
 BLANK_SQL = r"[\x00-\x40\x5b-\x60\x7b-\x7f]+"
@@ -124,30 +124,45 @@ def _fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray,
     return centre, scale, w
 
 
-def train(rows: DataFrame) -> Model:
-    """``rows`` is (id, text, toxic 0/1), labelled."""
-    none = Model(b"", b"", (), (), ())
-    rows = rows.filter("toxic IS NOT NULL")
-    sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
-    if not sizes.get(0) or not sizes.get(1):
-        return none
-    share = {1: min(1.0, TOXIC_ROWS / sizes[1]), 0: min(1.0, ORDINARY_ROWS / sizes[0])}
+def _sizes(labels: DataFrame) -> dict[int, int]:
+    return {r["toxic"]: r["n"] for r in labels.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
+
+
+def choose(labels: DataFrame) -> tuple[DataFrame, dict[int, float]]:
+    """About ``TOXIC_ROWS`` and ``ORDINARY_ROWS`` of the labels (id, toxic),
+    and the share of each kind that was taken."""
+    sizes = _sizes(labels)
+    share = {k: min(1.0, most / max(1, sizes.get(k, 0))) for k, most in ((1, TOXIC_ROWS), (0, ORDINARY_ROWS))}
     chance = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    some = stage(rows.filter(chance < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0])).select("id", "text", "toxic"), "toxic-sample")
-    n = {r["toxic"]: r["n"] for r in some.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    some = labels.filter(chance < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]))
+    return stage(some.select("id", "toxic"), "toxic-labels"), share
+
+
+def train(some: DataFrame, share: dict[int, float] | None = None) -> Model:
+    """``some`` is (id, text, toxic 0/1), the rows to learn from; ``share``
+    says which part of each kind they are."""
+    none = Model(b"", b"", (), (), ())
+    share = share or {0: 1.0, 1: 1.0}
+    some = stage(some.select("id", "text", "toxic"), "toxic-sample")
+    part = F.pmod(F.xxhash64("id", F.lit("part")), F.lit(3))
+    own, other = some.filter(part != 0), some.filter(part == 0)
+    n, m = _sizes(own), _sizes(other)
+    if not min(n.get(0, 0), n.get(1, 0), m.get(0, 0), m.get(1, 0)):  # too few to tell them apart
+        own = other = some
+        n = _sizes(some)
     if not n.get(0) or not n.get(1):
         return none
     place = F.pmod(F.xxhash64("id"), F.greatest(F.length("text") - SAMPLE_BYTES, F.lit(1))).cast("int") + 1
-    pieces = some.filter("toxic = 0 AND text != ''").orderBy(F.xxhash64("id")).limit(WINDOW_SAMPLES)
+    pieces = own.filter("toxic = 0 AND text != ''").orderBy(F.xxhash64("id")).limit(WINDOW_SAMPLES)
     pieces = pieces.select(F.substring("text", place, F.lit(SAMPLE_BYTES)).alias("s")).collect()
     samples = [BLANK.sub(b" ", r["s"].lower().encode()) for r in pieces]
     try:
         ordinary = zstandard.train_dictionary(BASE_BYTES + 8192, samples).as_bytes()[-BASE_BYTES:]
     except zstandard.ZstdError:  # too few samples: the samples themselves
         ordinary = b" ".join(samples)[-BASE_BYTES:] or b" "
-    words = _toxic_words(some, n[1], n[0])
+    words = _toxic_words(own, n[1], n[0])
     toxic = b"".join(b" " + w.encode() + b" " for w in reversed(words)) + ordinary
-    got = _measured(some.select(F.col("toxic").cast("long").alias("toxic"), "text"), ordinary, toxic, "toxic").toPandas()
+    got = _measured(other.select(F.col("toxic").cast("long").alias("toxic"), "text"), ordinary, toxic, "toxic").toPandas()
     x, y = np.array(got["x"].tolist()), got["toxic"].to_numpy(float)
     centre, scale, w = _fit(x, y, np.where(y == 1, 1 / share[1], 1 / share[0]))
     return Model(ordinary, toxic, tuple(centre), tuple(scale), tuple(w))
@@ -174,8 +189,9 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """A model from the labelled rows of ``documents`` that are not held out."""
     known = labels.filter("toxic IS NOT NULL").groupBy(F.col("doc_id").alias("id")).agg(F.max("toxic").cast("int").alias("toxic"))
-    known = known.filter(~held_out(F.col("id"), FOLDS, HELD_OUT))
-    return train(docs.select(F.col("doc_id").alias("id"), "text").join(known, "id"))
+    some, share = choose(known.filter(~held_out(F.col("id"), FOLDS, HELD_OUT)))
+    texts = docs.select(F.col("doc_id").alias("id"), "text").filter(maybe_among(some, "id", F.col("id")))
+    return train(texts.join(some, "id"), share)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
