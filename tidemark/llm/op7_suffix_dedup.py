@@ -53,9 +53,9 @@ LENGTH = 400
 GRAM = 200
 SLICE_BYTES = 1 << 20
 PART_ANCHORS = 1 << 18
-PART_DOCUMENTS = 1 << 15
-SORT_DOCUMENTS = 1 << 13
-FLUSH_BYTES = 16 << 20
+PART_DOCUMENTS = 1 << 14
+SORT_DOCUMENTS = 1 << 12
+FLUSH_BYTES = 4 << 20
 END = 256  # a place behind a text's end; equals nothing
 
 
