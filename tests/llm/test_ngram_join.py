@@ -91,3 +91,31 @@ def test_components_of_a_long_path(spark):
     edges = spark.range(60).selectExpr("id AS a", "id + 1 AS b").union(spark.createDataFrame([(1000, 900), (900, 901)], "a long, b long"))
     got = {r.v: r.root for r in components(edges).collect()}
     assert all(got[i] == 0 for i in range(61)) and got[1000] == got[901] == got[900] == 900
+
+
+def test_links_are_all_pairs_of_classes(spark, monkeypatch):
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(120)]
+    rows = corpus(3) + [(5_000, None), (5_001, "lonely words of no one else here")]
+    for i in range(70):  # more members than hubs, all near copies of each other
+        t = list(base)
+        t[rng.randrange(120)] = f"x{i}"
+        rows.append((6_000 + i, " ".join(t)))
+    rows += [(7_000, rows[-1][1]), (7_001, rows[-1][1])]  # copies count as links, not as classes
+    sets = {i: frozenset(shingles(t)) for i, t in rows}
+    want, n_links = set(), dict.fromkeys(sets, 0)
+    for x in sets:
+        for y in sets:
+            if x < y and sets[x] and 100 * len(sets[x] & sets[y]) >= 75 * len(sets[x] | sets[y]):
+                n_links[x] += 1
+                n_links[y] += 1
+                if sets[x] != sets[y]:
+                    want.add((frozenset((sets[x], sets[y])), len(sets[x] & sets[y])))
+    for most in (op.BLOCK_CLASSES, 7):  # one block for a group, several
+        monkeypatch.setattr(op, "BLOCK_CLASSES", most)
+        members, links = op.ngram_join(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+        members = members.collect()
+        assert {r.doc_id: r.n_links for r in members} == n_links
+        of = {r["class"]: sets[r.doc_id] for r in members}
+        got = [(frozenset((of[r.a], of[r.b])), r.overlap) for r in links.collect()]
+        assert len(got) == len(set(got)) and set(got) == want

@@ -15,19 +15,27 @@ link when 100 * intersection >= 75 * union. The steps:
    positional filter (the overlap still possible at the shared shingle's
    positions reaches the needed one). In a first round every member of a list
    meets the list's hubs; in the second only members of different components
-   meet, so a group of thousands of near copies is a few pairs per member, and
-   no link between different components is lost.
+   meet. That gives the components, and no link between different components
+   is lost.
 4. The suffix filter bounds a pair's overlap by its shingle counts in
-   ``SUFFIX_CELLS`` hash ranges; what remains is checked once per pair by the
-   exact intersection of the two texts' sets.
+   ``SUFFIX_CELLS`` hash ranges; what remains is checked by the exact
+   intersection of the two texts' sets.
+5. Linked classes share a list and a component. A component's classes are
+   dealt by size and a salt into blocks of about ``BLOCK_CLASSES`` classes or
+   ``BLOCK_SHINGLES`` shingles; every block, and every two blocks with
+   neighbouring sizes that share a list of the component, are intersected pair
+   by pair. That gives all links: as many rows as there are linked pairs of
+   different classes, so a group of k near copies may return k * (k - 1) / 2.
 
 A text travels compressed, and only texts of listed classes travel. The
-component's id is the smallest document id in it.
+component's id is the smallest document id in it. A document's ``n_links`` is
+the number of other rows that it links with, copies included.
 
 Defined cases: null or wordless text has an empty set, linked with nothing;
 fewer than five words are one shingle; repeated rows and equal texts are one
 class; rows without an id get their class's component (null if no member has
-an id) but start no component of their own; an empty table gives an empty
+an id) but start no component of their own; a wordless text has no links, not
+even with its copies; an empty table gives an empty
 result; other columns are not read.
 """
 
@@ -56,6 +64,7 @@ CELL_CHUNK = 1 << 16
 SUFFIX_CELLS = 128
 PART_POSTINGS = 1 << 19
 HUBS = 24
+BLOCK_CLASSES, BLOCK_SHINGLES = 256, 1 << 16
 FLUSH_POSTINGS = 1 << 20
 SLICE_BYTES = 2 << 20
 SPAN = 1 << 20
@@ -212,6 +221,7 @@ def _postings(counts, part_bits: int):
     return run
 
 
+LINK_SCHEMA = "a string, b string, overlap long, copies_a long, copies_b long"
 LIST_SCHEMA = "list long, f1 long, n long, pos long, hub long"
 
 
@@ -261,11 +271,11 @@ def _lists(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.concat([x.reindex(columns=columns).astype("Int64") for x in (lists, pairs)], ignore_index=True)
 
 
-def _same_members(lists: DataFrame) -> DataFrame:
+def _same_members(lists: DataFrame, member: str = "f1") -> DataFrame:
     """One list of each set of members: the shingles of a shared passage
     have the same members, and one of them says all about who meets whom."""
     members = lists.groupBy("list").agg(
-        F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("f1")).alias("x"), F.bit_xor(F.xxhash64("f1", F.lit(1))).alias("y")
+        F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64(member)).alias("x"), F.bit_xor(F.xxhash64(member, F.lit(1))).alias("y")
     )
     return lists.join(members.groupBy("size", "x", "y").agg(F.min("list").alias("list")).select("list"), "list", "left_semi")
 
@@ -324,6 +334,45 @@ def _check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array(overlap, pa.int64())], ["a", "b", "overlap"])
 
 
+def _check_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All links between the classes of two blocks, or (``ys`` is null) within
+    one, with their overlap and both classes' rows."""
+
+    def sets(block: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+        data = [zstandard.decompress(r["text"]) for r in block]
+        at = np.concatenate([[0], np.cumsum([len(x) for x in data])])
+        found = shingle_sets(np.frombuffer(b"".join(data), np.uint8), at)
+        return np.concatenate(found), np.array([len(x) for x in found], np.int64)
+
+    for batch in batches:
+        for row in batch.to_pylist():
+            xs, ys = row["xs"], row["ys"]
+            hashes, n = sets(xs)
+            known, index = np.unique(hashes, return_inverse=True)
+            at = np.concatenate([[0], np.cumsum(n)])
+            if ys is None:
+                ys, m, begin, place, there = xs, n, at[:-1], index, np.ones(len(index), bool)
+            else:
+                hashes, m = sets(ys)
+                place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+                there = known[place] == hashes
+                begin = np.concatenate([[0], np.cumsum(m)])[:-1]
+            out = []
+            for i, x in enumerate(xs):
+                mark = np.zeros(len(known), bool)
+                mark[index[at[i] : at[i + 1]]] = True
+                overlap = np.add.reduceat((mark[place] & there).astype(np.int64), begin)
+                links = overlap >= needed(n[i], m)
+                if ys is xs:
+                    links[: i + 1] = False
+                for j in np.flatnonzero(links).tolist():
+                    a, b = sorted((x, ys[j]), key=lambda r: r["class"])
+                    out.append((a["class"], b["class"], int(overlap[j]), a["copies"], b["copies"]))
+            if out:
+                kinds = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64())
+                yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out), kinds)], [c.split()[0] for c in LINK_SCHEMA.split(", ")])
+
+
 # ---- the join --------------------------------------------------------------------
 
 
@@ -340,10 +389,36 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.mapInArrow(_check, "a string, b string, overlap long")
 
 
+def _all_links(texts: DataFrame, lists: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
+    """Every two classes that link, as ``LINK_SCHEMA``. ``roots`` is (class,
+    root) of the classes with a link, ``lists`` (list, class) of those."""
+    grade = F.floor(F.log("n") / F.log(F.lit(100 / PERCENT))).alias("grade")  # linked sizes are at most one apart
+    placed = roots.join(classes.select("class", "copies", "n"), "class").select("class", "root", "copies", "n", grade)
+    most = F.greatest(F.count(F.lit(1)) / BLOCK_CLASSES, F.sum("n") / BLOCK_SHINGLES)
+    cells = placed.groupBy("root", "grade").agg(F.ceil(most).alias("blocks"))
+    salt = F.pmod(F.xxhash64("class"), F.col("blocks"))
+    block = F.concat_ws(":", "root", F.col("grade").cast("string"), salt.cast("string")).alias("block")
+    placed = stage(placed.join(cells, ["root", "grade"]).select("class", "copies", "root", "grade", block), "ngram-placed")
+    row = F.struct("class", "copies", "text").alias("row")
+    blocks = texts.select("class", "text").join(placed, "class").select("block", row)
+    blocks = stage(blocks.groupBy("block").agg(F.collect_list("row").alias("xs")), "ngram-blocks")  # of bounded size
+
+    at = lists.join(placed, "class").select(F.concat_ws(":", "list", "root").alias("list"), "block", "grade").distinct()
+    several = at.groupBy("list").agg(F.min("block").alias("lo"), F.max("block").alias("hi")).filter("lo != hi").select("list")
+    at = stage(at.join(several, "list", "left_semi"), "ngram-block-lists")
+    at = stage(_same_members(at, "block"), "ngram-block-pairs")
+    x, y = at.alias("x"), at.alias("y")
+    meet = x.join(y, (F.col("x.list") == F.col("y.list")) & (F.col("x.block") < F.col("y.block")) & F.expr("abs(x.grade - y.grade) <= 1"))
+    meet = meet.select(F.col("x.block").alias("a"), F.col("y.block").alias("b")).distinct()
+    cross = meet.join(blocks.toDF("a", "xs"), "a").join(blocks.toDF("b", "ys"), "b").select("xs", "ys")
+    own = blocks.filter(F.size("xs") > 1).select("xs", F.lit(None).cast(blocks.schema["xs"].dataType).alias("ys"))
+    return stage(own.unionByName(cross).mapInArrow(_check_blocks, LINK_SCHEMA), "ngram-all-links")
+
+
 def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(members, links): members is ``(doc_id, n_shingles, class,
-    component_id)``, a row per row of ``df``; links is ``(a, b, overlap)``
-    between classes, enough of them to connect every component."""
+    component_id, n_links)``, a row per row of ``df``; links is ``(a, b,
+    overlap)`` of every two different classes that link."""
     spark = df.sparkSession
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     scanned = stage(docs.mapInArrow(_scan, SCAN_SCHEMA), "ngram-scan")
@@ -353,7 +428,7 @@ def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     for r in cells.collect():  # CELLS numbers, whatever the input
         counts[r["chunk"] * CELL_CHUNK : (r["chunk"] + 1) * CELL_CHUNK] = np.frombuffer(r["counts"], np.int64)
     classes = stage(
-        rows.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("rep"), F.first("f1").alias("f1"), F.first("n").alias("n")), "ngram-classes"
+        rows.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("rep"), F.first("f1").alias("f1"), F.first("n").alias("n"), F.count(F.lit(1)).alias("copies")), "ngram-classes"
     )
     total = classes.agg(F.sum(F.expr(f"n div {round(100 / (100 - PERCENT))} + 1"))).first()[0] or 0
     bits = max(0, int(total / PART_POSTINGS).bit_length())
@@ -392,18 +467,26 @@ def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     cross = x.join(y, (F.col("x.list") == F.col("y.list")) & (F.col("x.root") < F.col("y.root")) & near & (can >= need))
     cross = cross.select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
     more = stage(_verified(cross.join(tried, ["a", "b"], "left_anti"), texts), "ngram-more-links")
-    links = links.unionByName(more)
     if more.isEmpty():
         joined = roots
     else:
-        joined = components(links.select("a", "b"))
+        joined = components(links.unionByName(more).select("a", "b"))
     placed = classes.join(joined.withColumnRenamed("v", "class"), "class", "left").select("class", "rep", F.coalesce("root", "class").alias("root"))
     least = placed.groupBy("root").agg(F.min("rep").alias("component_id"))
     found = stage(placed.join(least, "root").select("class", "component_id"), "ngram-components")
+
+    # third round: every pair of a component's classes
+    linked = joined.withColumnRenamed("v", "class")
+    links = _all_links(texts, lists.select("list", "f1").join(named, "f1").select("list", "class"), linked, classes)
+    ends = links.select(F.col("a").alias("class"), F.col("copies_b").alias("n")).unionByName(links.select(F.col("b").alias("class"), F.col("copies_a").alias("n")))
+    others = ends.groupBy("class").agg(F.sum("n").alias("others"))
+    counted = classes.join(others, "class", "left").select("class", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    found = stage(found.join(counted, "class"), "ngram-found")
     members = rows.join(found, "class", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), "class", F.coalesce("component_id", "doc_id").alias("component_id")
-    )
-    return members, links
+        "doc_id", F.col("n").alias("n_shingles"), "class", F.coalesce("component_id", "doc_id").alias("component_id"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+    )
+    return members, links.select("a", "b", "overlap")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
