@@ -7,7 +7,8 @@ reads it back as the next stage's input, so a lost executor never costs more
 than the stage it is lost in.
 
 Defined cases are those of the operators: null and wordless texts have no
-language and leave in the first stage; an empty table passes all stages.
+language and leave in the first stage; an empty table passes all stages. Ids
+may be null or repeated: stages decide by id and a hash of the row's content.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import op1_source_mix, op2_ngram_join, op3_byte_bpe, op5_language_spans, op6_exact_dedup
-from tidemark.llm.staging import drop_ids, read, stage
+from tidemark.llm.staging import keep_rows, maybe_among, read, stage
 
 #: A document stays if one learned language labels this share of its letters.
 LEAST_LANGUAGE_SHARE = 0.5
@@ -36,25 +37,36 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the smallest id stays."""
+    """Of equal texts one document with the smallest id stays."""
     return op6_exact_dedup.drop_copies(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near copies the document with the smallest id stays."""
-    members, _ = op2_ngram_join.ngram_join(docs)
-    losers = stage(members.filter("doc_id != component_id").select(F.col("doc_id").alias("__id")).distinct(), "pipeline-near")
-    return drop_ids(docs, "doc_id", losers, "__id")
+    """Of each component of near copies one document with the smallest id
+    stays (one without an id only if none has one)."""
+    key = F.md5(F.coalesce("text", F.lit("")))
+    members, _ = op2_ngram_join.ngram_join(docs.withColumn("__key", key), key_col="__key")
+    row = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "key")
+    members = stage(members.filter("root IS NOT NULL").select("root", row.alias("row")), "pipeline-near-members")
+    best = members.groupBy("root").agg(F.min("row").alias("best"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    verdict = members.join(best, "root").select(F.col("row.doc_id").alias("__id"), F.col("row.key").alias("__key"), F.expr("row <=> best").alias("__kept"))
+    return keep_rows(docs, "doc_id", key, stage(verdict.distinct(), "pipeline-near"))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document at least once, small sources again up to the limit, in
-    the order of the mixture's blocks."""
-    placed = op1_source_mix.source_mix(docs, None, MAX_REPETITION)
-    placed = placed.select(F.col("doc_id").alias("__id"), F.col("block").alias("__block"), F.col("order_key").alias("__key"))
-    mixed = docs.join(stage(placed, "pipeline-mix"), docs["doc_id"].eqNullSafe(F.col("__id")))
+    the order of the mixture's blocks. Rows are met again by a hash of all
+    their columns; equal rows are one row, placed as often as they occur."""
+    row = F.sha2(F.to_json(F.struct(*docs.columns)), 256)
+    placed = op1_source_mix.source_mix(docs, None, MAX_REPETITION, carried=(row.alias("__placed"),))
+    placed = stage(placed.select("__placed", "pass", F.col("block").alias("__block"), F.col("order_key").alias("__key")), "pipeline-mix")
+    often = placed.filter("pass = 0").groupBy("__placed").count().filter("count > 1").select("__placed")
+    repeated = maybe_among(stage(often, "pipeline-often"), "__placed", F.col("__row"))
+    keyed = docs.withColumn("__row", row)
+    keyed = keyed.filter(~repeated).unionByName(keyed.filter(repeated).dropDuplicates(["__row"]))
+    mixed = keyed.join(placed.drop("pass"), F.col("__row") == F.col("__placed"))
     mixed = mixed.repartitionByRange("__block", "__key").sortWithinPartitions("__block", "__key")
-    return mixed.select(*[docs[c] for c in docs.columns])
+    return mixed.select(*docs.columns)
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -48,3 +48,32 @@ def test_registered_with_all_operators():
     names = entry.queries()
     assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
     assert op6_exact_dedup.NAME in entry.oracle_sql()
+
+
+def test_stages_decide_by_row_not_by_id(spark):
+    words = [f"w{i}" for i in range(60)]
+    base, near, other = " ".join(words), " ".join(words + ["more"]), " ".join(f"o{i}" for i in range(30))
+    lone = [" ".join(f"{x}{i}" for i in range(20)) for x in "pq"]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+
+    def table(*rows):
+        return spark.createDataFrame([(i, t, None, s, 1) for i, t, s in rows], schema)
+
+    def left(df):
+        return sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+
+    exact = table((3, "A", "s"), (5, "A", "s"), (5, "B", "s"), (7, "C", "s"), (7, "C", "s"), (None, "D", "s"), (None, "D", "s"), (None, "C", "s"))
+    assert left(pipe.exact_dedup(spark, exact, SF)) == sorted([(3, "A"), (5, "B"), (7, "C"), (None, "D")], key=str)
+
+    rows = [(3, base, "s"), (5, near, "s"), (5, other, "s"), (5, other, "s"), (None, lone[0], "s"), (None, lone[0] + " z", "s"), (None, lone[1], "s"), (9, "", "s")]
+    got = left(pipe.near_dedup(spark, table(*rows), SF))
+    assert [t for i, t in got if i is None and t.startswith("q")] == [lone[1]]
+    assert len([t for i, t in got if i is None and t.startswith("p")]) == 1
+    assert sorted((i, t) for i, t in got if i is not None) == sorted([(3, base), (5, other), (9, "")])
+
+    rows = [(i, f"text {i}", "large") for i in range(40)] + [(7, "other text", "large"), (7, "other text", "large")]
+    rows += [(None, f"null {i}", "large") for i in range(3)] + [(None, None, "large"), (None, None, "large")]
+    rows += [(5, "small one", "small"), (5, "small one", None)]
+    mixed = [(r.doc_id, r.text, r.source) for r in pipe.source_mix(spark, table(*rows), SF).collect()]
+    assert set(mixed) == set(rows)
+    assert all(mixed.count(r) == rows.count(r) for r in rows if r[2] == "large")

@@ -149,13 +149,15 @@ def weights(shares: DataFrame, exponent: float, budget: int | None = None) -> Da
 
 def mix(tokens: DataFrame, plan: DataFrame, seed: str = SEED) -> DataFrame:
     """``tokens`` is (doc_id, source, n), ``plan`` the table of ``weights``.
-    Returns ``(doc_id, source, pass, block, order_key, n_tokens)``."""
+    Returns ``(doc_id, source, pass, block, order_key, n_tokens)``, and other
+    columns of ``tokens`` after these."""
+    carried = [c for c in tokens.columns if c not in ("doc_id", "source", "n")]
     plan = stage(plan, "mix-plan").withColumnRenamed("source", "__source")
     passes = F.when(F.col("total") == 0, 1).otherwise(F.ceil(F.col("budget") / F.col("total")))
     rows = (
         tokens.join(plan, tokens["source"].eqNullSafe(plan["__source"]))
         .select(
-            "doc_id", "source", "n", "docs", "total", "budget", "quota",
+            "doc_id", "source", "n", *carried, "docs", "total", "budget", "quota",
             F.explode(F.sequence(F.lit(0).cast("long"), passes.cast("long") - 1)).alias("pass"),
         )
         .withColumn("order_key", F.md5(F.concat_ws(":", F.lit(seed), "pass", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))))
@@ -169,22 +171,23 @@ def mix(tokens: DataFrame, plan: DataFrame, seed: str = SEED) -> DataFrame:
     ahead = Window.partitionBy("source", "pass").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     cells = stage(cells.withColumn("__before", F.coalesce(F.sum("__sum").over(ahead), F.lit(0)).cast("long")).drop("__sum"), "mix-cells")
     cells = cells.select(*[F.col(c).alias(f"__{c}") for c in key], "__before")
-    inside = Window.partitionBy(*key).orderBy("order_key", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*key).orderBy("order_key", "doc_id", *carried).rowsBetween(Window.unboundedPreceding, -1)
     same = [rows[c].eqNullSafe(cells[f"__{c}"]) for c in key]
     offset = F.col("pass") * F.col("total") + F.col("__before") + F.coalesce(F.sum("n").over(inside), F.lit(0))
     placed = rows.join(cells, same[0] & same[1] & same[2]).withColumn("__at", offset.cast("long"))
     whole = F.col("pass") < F.floor(F.col("budget") / F.col("total"))
     return placed.filter((F.col("total") == 0) | (F.col("__at") < F.col("budget")) | whole).select(
         "doc_id", "source", F.col("pass").cast("int").alias("pass"), F.expr("__at div quota").alias("block"),
-        "order_key", F.col("n").alias("n_tokens"),
+        "order_key", F.col("n").alias("n_tokens"), *carried,
     )
 
 
 def source_mix(
-    docs: DataFrame, target_entropy: float | None = TARGET_ENTROPY, max_repetition: float | None = MAX_REPETITION, budget: int | None = None
-) -> DataFrame:
+    docs: DataFrame, target_entropy: float | None = TARGET_ENTROPY, max_repetition: float | None = MAX_REPETITION, budget: int | None = None,
+    carried: tuple[Column, ...] = (),
+) -> DataFrame:
     """The mixture of ``docs`` (doc_id, text, source) as rows of ``mix``."""
-    tokens = stage(docs.select("doc_id", "source", count_tokens(F.col("text")).alias("n")), "mix-tokens")
+    tokens = stage(docs.select("doc_id", "source", count_tokens(F.col("text")).alias("n"), *carried), "mix-tokens")
     shares = source_shares(tokens)
     return mix(tokens, weights(shares, temperature(shares, target_entropy, max_repetition), budget))
 

@@ -152,7 +152,7 @@ def prefix_size(n: int) -> int:
 
 # ---- scans -----------------------------------------------------------------------
 
-SCAN_SCHEMA = "doc_id long, n long, f1 long, f2 long, chunk int, counts binary"
+SCAN_SCHEMA = "doc_id long, key string, n long, f1 long, f2 long, chunk int, counts binary"
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,13 +163,13 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = shingle_sets(*textops.buffers(batch.column("text")))
         counts += np.bincount(cell(np.concatenate(sets)), minlength=CELLS)
         prints = [fingerprint(s) for s in sets]
-        columns = [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in ([len(s) for s in sets], [a for a, _ in prints], [b for _, b in prints]))]
+        columns = [batch.column("doc_id"), batch.column("key"), *(pa.array(c, pa.int64()) for c in ([len(s) for s in sets], [a for a, _ in prints], [b for _, b in prints]))]
         yield pa.record_batch([*columns, pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())], names)
     if counts.any():
         chunks = range(CELLS // CELL_CHUNK)
         packed = [zstandard.compress(counts[i * CELL_CHUNK : (i + 1) * CELL_CHUNK].tobytes(), 1) for i in chunks]
         none = pa.nulls(len(packed), pa.int64())
-        yield pa.record_batch([none, none, none, none, pa.array(chunks, pa.int32()), pa.array(packed, pa.binary())], names)
+        yield pa.record_batch([none, pa.nulls(len(packed), pa.string()), none, none, none, pa.array(chunks, pa.int32()), pa.array(packed, pa.binary())], names)
 
 
 def _add(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -415,14 +415,18 @@ def _all_links(texts: DataFrame, lists: DataFrame, roots: DataFrame, classes: Da
     return stage(own.unionByName(cross).mapInArrow(_check_blocks, LINK_SCHEMA), "ngram-all-links")
 
 
-def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", key_col: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(members, links): members is ``(doc_id, n_shingles, class,
-    component_id, n_links)``, a row per row of ``df``; links is ``(a, b,
-    overlap)`` of every two different classes that link."""
+    component_id, n_links, root, key)``, a row per row of ``df``; ``root`` is
+    equal exactly within a component (null for wordless texts), ``key`` the
+    string column ``key_col`` passed on; links is ``(a, b, overlap)`` of every
+    two different classes that link."""
     spark = df.sparkSession
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    scanned = stage(docs.mapInArrow(_scan, SCAN_SCHEMA), "ngram-scan")
-    rows = scanned.filter("chunk IS NULL").select("doc_id", "n", "f1", _class().alias("class"))
+    key = F.lit(None).cast("string") if key_col is None else F.col(key_col)
+    keyed = df.select(F.col(id_col).cast("long").alias("doc_id"), key.alias("key"), F.col(text_col).alias("text"))
+    scanned = stage(keyed.mapInArrow(_scan, SCAN_SCHEMA), "ngram-scan")
+    rows = scanned.filter("chunk IS NULL").select("doc_id", "key", "n", "f1", _class().alias("class"))
     cells = scanned.filter("chunk IS NOT NULL").select("chunk", "counts").groupBy("chunk").applyInPandas(_add, "chunk int, counts binary")
     counts = np.zeros(CELLS, np.int64)
     for r in cells.collect():  # CELLS numbers, whatever the input
@@ -442,7 +446,7 @@ def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     listed = stage(listed, "ngram-listed")
     wanted = docs.filter(maybe_among(listed, "rep", F.col("doc_id"))).mapInArrow(_pack_texts, "doc_id long, f1 long, f2 long, n long, cells binary, text binary")
     wanted = wanted.select("doc_id", _class().alias("class"), "n", "cells", "text")
-    same = (wanted["class"] == listed["class"]) & (wanted["doc_id"] == listed["rep"])
+    same = (wanted["class"] == listed["class"]) & wanted["doc_id"].eqNullSafe(listed["rep"])
     texts = stage(wanted.join(listed, same, "left_semi").dropDuplicates(["class"]), "ngram-texts")
 
     def by_class(pairs: DataFrame) -> DataFrame:
@@ -473,7 +477,7 @@ def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         joined = components(links.unionByName(more).select("a", "b"))
     placed = classes.join(joined.withColumnRenamed("v", "class"), "class", "left").select("class", "rep", F.coalesce("root", "class").alias("root"))
     least = placed.groupBy("root").agg(F.min("rep").alias("component_id"))
-    found = stage(placed.join(least, "root").select("class", "component_id"), "ngram-components")
+    found = stage(placed.join(least, "root").select("class", "root", "component_id"), "ngram-components")
 
     # third round: every pair of a component's classes
     linked = joined.withColumnRenamed("v", "class")
@@ -484,7 +488,7 @@ def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     found = stage(found.join(counted, "class"), "ngram-found")
     members = rows.join(found, "class", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), "class", F.coalesce("component_id", "doc_id").alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "root", "key",
     )
     return members, links.select("a", "b", "overlap")
 

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.staging import drop_ids, maybe_among, read, stage
+from tidemark.llm.staging import keep_rows, maybe_among, read, stage
 
 NAME = "op6_exact_dedup"
 PREFIX_CHARS = 64
@@ -86,12 +86,12 @@ def _groups(hashes: DataFrame) -> DataFrame:
 
 
 def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``df`` without the rows whose text equals that of a smaller id. Only
-    ids of dropped rows meet the wide table."""
+    """``df`` with one row of each text: one of those with the smallest id.
+    Rows are decided by id and text hash, as an id may have several texts."""
     hashes = repeated_texts(df, id_col, text_col)
-    losers = hashes.join(_groups(hashes), "__sha").filter(F.col("__id") != F.col("__keep"))
-    losers = stage(losers.select(F.col("__id")).distinct(), "dedup-losers")
-    return drop_ids(df, id_col, losers, "__id")
+    members = hashes.join(_groups(hashes), "__sha")
+    verdict = members.select("__id", F.col("__sha").alias("__key"), F.col("__id").eqNullSafe(F.col("__keep")).alias("__kept")).distinct()
+    return keep_rows(df, id_col, F.sha2(normalised(F.col(text_col)), 256), stage(verdict, "dedup-verdict"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -45,9 +45,14 @@ def maybe_among(keys: DataFrame, key: str, value: Column) -> Column:
     return F.getbit(F.element_at(array, (slot / 64).cast("int") + 1), F.pmod(slot, F.lit(64)).cast("int")) == 1
 
 
-def drop_ids(df: DataFrame, id_col: str, ids: DataFrame, key: str) -> DataFrame:
-    """``df`` without the rows whose id is in ``ids[key]``. Only rows that may
-    be among them take part in the join; the others are not shuffled."""
-    among = F.coalesce(maybe_among(ids, key, F.col(id_col)), F.lit(False))
-    asked = df.filter(among)
-    return df.filter(~among).unionByName(asked.join(ids.select(F.col(key).alias("__drop")), F.col(id_col) == F.col("__drop"), "left_anti"))
+def keep_rows(df: DataFrame, id_col: str, key: Column, verdict: DataFrame) -> DataFrame:
+    """``df`` without the rows that lose in ``verdict``, a row ``(__id, __key,
+    __kept)`` per decided id and key: rows that it does not name stay, and of
+    the rows with a kept id and key exactly one. Only rows whose id may be
+    named take part in the join; the others are not shuffled."""
+    among = maybe_among(verdict, "__id", F.col(id_col))
+    asked = df.filter(among).withColumn("__row_key", key)
+    asked = asked.join(verdict, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__row_key") == F.col("__key")), "left")
+    free = asked.filter("__key IS NULL").select(*df.columns)
+    kept = asked.filter("__kept").dropDuplicates(["__id", "__key"]).select(*df.columns)
+    return df.filter(~among).unionByName(free).unionByName(kept)
