@@ -74,3 +74,16 @@ def test_without_a_limit_the_code_is_as_short_as_huffman():
         cost += both
         heapq.heappush(heap, both)
     assert int((op.code_lengths(counts, 40) * counts).sum()) == cost
+
+
+def test_added_tokens_in_texts_equal_unmodified_library(spark):
+    tok = Tokenizer.from_file(PATH)
+    texts = ["hello <|endoftext|> world", "<|startoftext|>a<|endoftext|>", "x<|EndOfText|>y", "<|endoftext|", "<|endoftext|><|endoftext|>", "plain words", ""]
+    texts += ["so<|endoftext|>", "|>", "<|", "endoftext|> next", "É <|startoftext|> e\u0301"]
+    rng = random.Random(4)
+    alphabet = [*"ab sTÉé''1९ \n!ß中İéΣΑ<|>", "'s", "'RE ", "<|endoftext|>", "<|startoftext|>"]
+    texts += ["".join(rng.choices(alphabet, k=rng.randrange(40))) for _ in range(300)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: np.frombuffer(r.ids, op.id_type(PATH)).tolist() for r in op.encode_ids(rows, PATH).collect()}
+    assert got == {i: tok.encode(t, add_special_tokens=False).ids + [1] for i, t in enumerate(texts)}
+    assert 49407 in got[0] and 49406 in got[1]

@@ -20,7 +20,8 @@ A block is decoded by all its checkpoints at once: step i decodes the i-th id
 after each of them. Counts and the code book are bounded by the vocabulary,
 part totals by the number of parts; nothing else reaches the driver.
 
-Defined cases: null text is empty; an empty document has only the end id;
+Defined cases: the string of an added token in a text is that token, as the
+library's ``encode(text, add_special_tokens=False)`` has it; null text is empty; an empty document has only the end id;
 null ids sort first; rows with the same document id follow each other by
 their content's hash; an empty table writes and reads no rows; other columns
 are not read.
@@ -28,6 +29,7 @@ are not read.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 import uuid
 from collections.abc import Iterator
@@ -69,18 +71,18 @@ def _tokenizer(path: str):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True  # their strings in a text are ordinary text
     vocabulary = tok.get_vocab()
     ends = np.zeros(max(vocabulary.values()) + 1, bool)
     ends[[i for piece, i in vocabulary.items() if piece.endswith(WORD_END)]] = True
-    return tok, ends
+    added = [re.escape(t.content.encode()) for t in tok.get_added_tokens_decoder().values() if t.content]
+    return tok, ends, re.compile(b"|".join(added), re.IGNORECASE) if added else None
 
 
 class WordEncoder:
     """Ids of distinct words, kept between the batches of a task."""
 
     def __init__(self, path: str):
-        self.tok, self.ends = _tokenizer(path)
+        self.tok, self.ends, self.added = _tokenizer(path)
         self.clear()
 
     def clear(self) -> None:
@@ -110,9 +112,10 @@ class WordEncoder:
 
     def texts(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets by text). Texts that Unicode
-        normalisation could change across word borders go whole."""
+        normalisation could change across word borders, or that hold the
+        string of an added token in any case, go whole."""
         data, offsets = textops.buffers(column)
-        odd = _odd(data, offsets)
+        odd = np.union1d(_odd(data, offsets), self._with_added(data, offsets))
         if len(odd):
             return self._mixed(data, offsets, odd)
         starts, ends = textops.split_word_bpe(data, offsets)
@@ -121,6 +124,12 @@ class WordEncoder:
         ids, at = textops.gather(self.flat, self.at, rows)
         return ids, at[np.searchsorted(starts, offsets)]
 
+    def _with_added(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        if self.added is None:
+            return np.zeros(0, np.int64)
+        starts = [m.start() for m in self.added.finditer(np.ascontiguousarray(data))]
+        return np.unique(np.searchsorted(offsets, starts, "right") - 1).astype(np.int64)
+
     def _mixed(self, data: np.ndarray, offsets: np.ndarray, odd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         raw = [data[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:])]
         whole = {int(i): np.array(self.tok.encode(raw[i].decode(), add_special_tokens=False).ids, np.uint32) for i in odd}
