@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm import (
     op1_source_mix,
     op10_pii,
+    op12_vector_codes,
+    op13_fill_in_middle,
     op2_ngram_join,
     op3_byte_bpe,
     op4_huffman_ids,
@@ -31,6 +33,8 @@ MODULES = (
     op8_kd_topk,
     op9_toxicity,
     op10_pii,
+    op12_vector_codes,
+    op13_fill_in_middle,
 )
 
 
