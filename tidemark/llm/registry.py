@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm import (
     op1_source_mix,
     op10_pii,
+    op11_chunked_bpe,
     op12_vector_codes,
     op13_fill_in_middle,
     op2_ngram_join,
@@ -33,6 +34,7 @@ MODULES = (
     op8_kd_topk,
     op9_toxicity,
     op10_pii,
+    op11_chunked_bpe,
     op12_vector_codes,
     op13_fill_in_middle,
 )
