@@ -28,7 +28,7 @@ def prose(rng, words):
 
 def texts():
     rng = random.Random(8)
-    shared = [prose(rng, 400) for _ in range(4)]
+    shared = [prose(rng, 900) for _ in range(4)]
     out = [prose(rng, rng.randrange(300)) + rng.choice(shared) + prose(rng, rng.randrange(200)) for _ in range(40)]
     out += [rng.choice(shared)[rng.randrange(900) :] + rng.choice(shared) for _ in range(40)]
     out += [prose(rng, 250) for _ in range(20)] + [shared[0]] * 30
@@ -58,11 +58,11 @@ def test_bodies_are_encoded_once_and_most_of_a_copy_comes_from_them(spark, tmp_p
     shared = op.shared_bodies(rows)
     bits, hot = op.bits_of(shared, shared.count()), op.bits_of(shared, 0)
     parts = op._parted(rows, PATH, bits, hot)
-    assert op._alone(rows, PATH, bits).count() == 0
+    assert op._alone(rows, PATH, bits, iter, op.ENCODED).count() == 0
     table = op._bodies(parts, PATH, hot).toPandas()
     assert table["hash"].is_unique and len(table) <= shared.count() + 2
     kept = sum(len(x) for r in parts.filter("row IS NOT NULL").collect() for x in r.kept)
-    whole = sum(len(r.ids) for r in op._assembled(parts, op._bodies(parts, PATH, hot)).collect())
+    whole = sum(len(r.ids) for r in op._assembled(parts, op._bodies(parts, PATH, hot), iter, op.ENCODED).collect())
     assert 0 < kept < whole / 4
 
 
@@ -77,7 +77,7 @@ def test_empty_and_unshared_tables(spark):
 def test_cuts_depend_on_content_only(seed, before, after):
     rng = random.Random(seed)
     word = lambda n: " ".join("".join(rng.choices("abcdefgh", k=4)) for _ in range(n // 5))
-    passage = word(20_000)
+    passage = word(100_000)
     one, two = (op.Text(pa.array([t])) for t in (passage, word(before) + passage + word(after)))
     a, b = ({t.digest(x) for x in t.bodies(0)} for t in (one, two))
     assert len(a & b) >= 0.8 * len(a)

@@ -41,7 +41,7 @@ import os
 import struct
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
@@ -57,16 +57,21 @@ NAME = "op11_chunked_bpe"
 ORACLE_SQL = None
 TOKENIZER = "word_bpe_49k.json"
 #: Bytes of the rolling hash (a power of two), of the least chunk, of the mean one above it, of the largest.
-WINDOW, LEAST, MEAN, MOST = 32, 128, 512, 8192
-SLICE_BYTES = 2 << 20
+WINDOW, LEAST, MEAN, MOST = 32, 256, 1024, 8192
+SLICE_BYTES = 1 << 20
 #: A join longer than this holds an unshared stretch.
 LONG_JOIN = 256
-CACHED_WORDS = 1 << 18
+CACHED_WORDS, CACHED_JOINS, CACHED_BODIES, WORDS_PER_CALL = 1 << 19, 1 << 14, 1 << 18, 2000
+WORD_END = "</w>"
+#: UTF-8 of characters from U+0300 on begins with 0xCC or more; 0xC4 begins that of the letter U+0130.
+ODD_BYTE = (np.arange(256) >= 0xCC) | (np.arange(256) == 0xC4)
 #: Bits of the shared bodies' array: so many a body, at least and at most.
 BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 26
 #: A body that occurs more often is met in so many salted pieces.
 HOT, SALTS = 4096, 64
 PARTS_SCHEMA = "row binary, doc_id long, kept array<binary>, bodies array<binary>, salts array<int>, hash binary, body binary"
+ENCODED, DECODED = "doc_id long, ids binary", "doc_id long, n_tokens long, spelled string, text string"
+Step = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
 # ---- words -----------------------------------------------------------------------
@@ -90,16 +95,23 @@ def id_type(path: str) -> str:
 
 class Encoder:
     """Encodes pieces of text, given as bytes. ``whole`` gives a piece to the
-    library; ``pieces`` encodes distinct words between ASCII white space once
-    a task, as white space separates words for the tokenizer as well."""
+    library. ``pieces`` splits at the tokenizer's words and encodes distinct
+    ones once a task; what stands between two ASCII white spaces and holds
+    characters from U+0300 on, the letter whose lower case is two characters,
+    or the first two bytes of an added token is one word of its own there, as
+    the library may join or split it otherwise."""
 
     def __init__(self, path: str):
         self.tok, self.kind = _tokenizer(path), id_type(path)
+        vocabulary = self.tok.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for piece, i in vocabulary.items() if piece.endswith(WORD_END)]] = True
+        self.added = {t.content.encode()[:2] for t in self.tok.get_added_tokens_decoder().values()}
         self.clear()
+        self.read: dict[bytes, list[int]] = {}
 
     def clear(self) -> None:
         self.known: dict[bytes, int] = {}
-        self.read: dict[bytes, list[int]] = {}
         self.flat, self.at = np.zeros(0, self.kind), np.zeros(1, np.int64)
 
     def whole(self, pieces: list[bytes]) -> list[np.ndarray]:
@@ -108,35 +120,82 @@ class Encoder:
 
     def memo(self, pieces: list[bytes]) -> list[list[int]]:
         """Ids of short pieces as lists, as many of them occur again and again."""
-        new = list({p for p in pieces if p not in self.read})
+        new = [p for p in pieces if p not in self.read]
         if new:
-            if len(self.read) > CACHED_WORDS // 4:
+            if len(self.read) > CACHED_JOINS:
                 self.read.clear()
-                new = list(set(pieces))
+                new = pieces
             self.read.update(zip(new, (x.tolist() for x in self.whole(new))))
         return [self.read[p] for p in pieces]
 
-    def _rows(self, words: list[bytes]) -> np.ndarray:
-        new = [w for w in words if w not in self.known]
+    def _together(self, words: list[bytes]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """(ids, sizes by word) of the tokenizer's own words, many in a call."""
+        flat, sizes = [], []
+        for i in range(0, len(words), WORDS_PER_CALL):
+            some = words[i : i + WORDS_PER_CALL]
+            (ids,) = self.whole([b" ".join(some)])
+            last = np.flatnonzero(self.ends[ids]) + 1
+            if len(last) != len(some):
+                raise AssertionError("a word was split otherwise by the library")
+            flat.append(ids)
+            sizes.append(np.diff(last, prepend=0))
+        return flat, sizes
+
+    def _rows(self, words: list[bytes], alone: np.ndarray | None) -> np.ndarray:
+        """Places of distinct words in ``at``; those with ``alone`` go to the library one by one."""
+        new = [i for i, w in enumerate(words) if w not in self.known]
         if len(self.known) + len(new) > CACHED_WORDS:
             self.clear()
-            new = words
-        ids = self.whole(new)
+            new = range(len(words))
+        odd = [] if alone is None else [words[i] for i in new if alone[i]]
+        plain = [words[i] for i in new] if alone is None else [words[i] for i in new if not alone[i]]
+        own = self.whole(odd)
+        flat, sizes = self._together(plain)
         first = len(self.known)
-        self.known.update(zip(new, range(first, first + len(new))))
-        self.flat = np.concatenate([self.flat, *ids])
-        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum([len(x) for x in ids], dtype=np.int64)])
+        self.known.update(zip([*odd, *plain], range(first, first + len(new))))
+        self.flat = np.concatenate([self.flat, *own, *flat])
+        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(np.concatenate([np.array([len(x) for x in own], np.int64), *sizes]))])
         return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
 
+    def _words(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray | None]:
+        """(bytes, starts, ends) of the words to look up, A-Z lowered in plain
+        ones, and which of them are odd (None: none)."""
+        odd = ODD_BYTE[data]
+        for two in self.added:
+            if len(two) == 2:
+                odd[:-1] |= (data[:-1] == two[0]) & (data[1:] == two[1])
+        capital = (data >= 0x41) & (data <= 0x5A)
+        starts, ends = textops.split_word_bpe(data, offsets)
+        alone = None
+        if odd.any():
+            begin, end, _ = textops.words(data, offsets)
+            at = np.concatenate([[0], np.cumsum(odd)])
+            mine = at[end] > at[begin]
+            begin, end = begin[mine], end[mine]
+            inside = np.searchsorted(begin, starts, "right") - 1
+            kept = (inside < 0) | (starts >= end[np.maximum(inside, 0)])
+            starts, ends = np.concatenate([starts[kept], begin]), np.concatenate([ends[kept], end])
+            by = np.argsort(starts, kind="stable")
+            starts, ends, alone = starts[by], ends[by], by >= kept.sum()
+            edge = np.zeros(len(data) + 1, np.int8)
+            edge[begin], edge[end] = 1, -1
+            capital &= np.cumsum(edge[:-1]) == 0
+        return data + (capital * np.uint8(32)), starts, ends, alone
+
     def pieces(self, column: pa.Array) -> list[np.ndarray]:
         data, offsets = textops.buffers(column)
-        starts, ends, before = textops.words(data, offsets)
+        data, starts, ends, alone = self._words(data, offsets)
         index, distinct = textops.dictionary(data, starts, ends)
         if not len(index):
             return [self.flat[:0]] * len(column)
-        rows = self._rows(distinct.to_pylist())[index]
+        if alone is not None:  # a word's bytes tell whether it is odd
+            by_word = np.zeros(len(distinct), bool)
+            by_word[index[alone]] = True
+            alone = by_word
+        rows = self._rows(distinct.to_pylist(), alone)[index]
         ids, at = textops.gather(self.flat, self.at, rows)
-        return [ids[a:b] for a, b in zip(at[before[:-1]], at[before[1:]])]
+        edge = at[np.searchsorted(starts, offsets)]
+        return [ids[a:b] for a, b in zip(edge[:-1], edge[1:])]
 
 
 # ---- chunks ----------------------------------------------------------------------
@@ -151,18 +210,17 @@ def rolling(data: np.ndarray) -> np.ndarray:
     """Hash of the ``WINDOW`` bytes that end at each position (wrapping; the
     first ones lack bytes), by doubling the window."""
     h, size = _table()[data], 1
-    factor = np.uint32(0x9E3779B1)
+    factor = 0x9E3779B1
     while size < WINDOW:
-        wide = h.copy()
-        wide[size:] += h[:-size] * factor
-        h, size, factor = wide, size * 2, factor * factor
+        before = h[:-size] * np.uint32(factor)
+        h[size:] += before
+        size, factor = size * 2, factor * factor & 0xFFFFFFFF
     return h
 
 
 def chunks(data: np.ndarray, offsets: np.ndarray) -> list[list[int]]:
     """Borders of each text's chunks, its begin and end included."""
-    with np.errstate(over="ignore"):
-        marks = (np.flatnonzero(rolling(data) % np.uint32(MEAN) == 0) + 1).tolist() if len(data) else []
+    marks = (np.flatnonzero(rolling(data) % np.uint32(MEAN) == 0) + 1).tolist()
     out = []
     for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
         borders = [a]
@@ -324,8 +382,8 @@ def _hits(text: Text, *known: Bits) -> tuple[list[bytes], list[np.ndarray]]:
     return [next(each) if h else b"" for h in held], hits
 
 
-def _alone(rows: DataFrame, path: str, shared: Bits) -> DataFrame:
-    """``(doc_id, ids)`` of the documents without a shared body."""
+def _alone(rows: DataFrame, path: str, shared: Bits, then: Step, schema: str) -> DataFrame:
+    """``(doc_id, ids)`` of the documents without a shared body, through ``then``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path)
@@ -337,7 +395,7 @@ def _alone(rows: DataFrame, path: str, shared: Bits) -> DataFrame:
             ids = [x.tobytes() for x in encoder.pieces(mine.column("text"))]
             yield pa.record_batch([mine.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
-    return rows.mapInArrow(run, "doc_id long, ids binary")
+    return rows.mapInArrow(lambda batches: then(run(batches)), schema)
 
 
 def _parted(rows: DataFrame, path: str, shared: Bits, hot: Bits) -> DataFrame:
@@ -372,7 +430,7 @@ def _parted(rows: DataFrame, path: str, shared: Bits, hot: Bits) -> DataFrame:
             for row, doc_id, size, hashes, salts in docs:
                 out.append((row, doc_id, ids[at : at + size], hashes, salts, None, None))
                 at += size
-            if len(told) > CACHED_WORDS:
+            if len(told) > CACHED_BODIES:
                 told.clear()
             out += [(None, None, None, None, None, h, text.raw[a:b]) for h, (a, b) in found.items() if h not in told]
             told.update(found)
@@ -398,8 +456,8 @@ def _bodies(parts: DataFrame, path: str, hot: Bits) -> DataFrame:
     return table.select("hash", F.explode(F.sequence(F.lit(0), "last")).alias("salt"), "ids")
 
 
-def _assembled(parts: DataFrame, bodies: DataFrame) -> DataFrame:
-    """``(doc_id, ids)``: joins and bodies of each document in turn."""
+def _assembled(parts: DataFrame, bodies: DataFrame, then: Step, schema: str) -> DataFrame:
+    """``(doc_id, ids)``: joins and bodies of each document in turn, through ``then``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -415,20 +473,29 @@ def _assembled(parts: DataFrame, bodies: DataFrame) -> DataFrame:
     asked = docs.select("row", F.posexplode(F.arrays_zip("bodies", "salts")).alias("pos", "x"))
     asked = asked.select("row", "pos", F.col("x.bodies").alias("hash"), F.col("x.salts").alias("salt"))
     met = asked.join(bodies, ["hash", "salt"]).groupBy("row").agg(F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("got"))
-    return docs.select("row", "doc_id", "kept").join(met, "row", "left").select("doc_id", "kept", "got").mapInArrow(run, "doc_id long, ids binary")
+    return docs.select("row", "doc_id", "kept").join(met, "row", "left").select("doc_id", "kept", "got").mapInArrow(lambda batches: then(run(batches)), schema)
 
 
-def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, ids)``: the ids of every row's text, of ``id_type``."""
+def _through(df: DataFrame, path: str, id_col: str, text_col: str, then: Step, schema: str) -> DataFrame:
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     twice = shared_bodies(rows)
     often = twice.filter(F.col("n") > HOT)
     shared, hot = bits_of(twice, twice.count()), bits_of(often, often.count())
-    alone = _alone(rows, path, shared)
+    alone = _alone(rows, path, shared, then, schema)
     if not len(shared.words):
         return alone
     parts = _parted(rows, path, shared, hot)
-    return alone.unionByName(_assembled(parts, _bodies(parts, path, hot)))
+    return alone.unionByName(_assembled(parts, _bodies(parts, path, hot), then, schema))
+
+
+def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, ids)``: the ids of every row's text, of ``id_type``."""
+    return _through(df, path, id_col, text_col, lambda batches: batches, ENCODED)
+
+
+def encode_and_decode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``decode(encode(...))`` without a second pass over the ids."""
+    return _through(df, path, id_col, text_col, _decoder(path), DECODED)
 
 
 # ---- decoding --------------------------------------------------------------------
@@ -456,9 +523,7 @@ def _spelled(ids: np.ndarray, at: np.ndarray, table: tuple[np.ndarray, np.ndarra
     return pa.array([raw[a : max(a, b - 1)].decode() for a, b in zip(edge[:-1].tolist(), edge[1:].tolist())], pa.string())
 
 
-def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """``(doc_id, n_tokens, spelled, text)`` of ``(doc_id, ids)``: the ids in
-    decimal and the decoded text, both with a space between two."""
+def _decoder(path: str) -> Step:
     kind = np.dtype(id_type(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -469,10 +534,16 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
             columns = [batch.column("doc_id"), pa.array(np.diff(at), pa.int64()), _spelled(ids, at, numbers), _spelled(ids, at, pieces)]
             yield pa.record_batch(columns, ["doc_id", "n_tokens", "spelled", "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, n_tokens long, spelled string, text string")
+    return run
+
+
+def decode(encoded: DataFrame, path: str) -> DataFrame:
+    """``(doc_id, n_tokens, spelled, text)`` of ``(doc_id, ids)``: the ids in
+    decimal and the decoded text, both with a space between two."""
+    return encoded.select("doc_id", "ids").mapInArrow(_decoder(path), DECODED)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
-    read_back = decode(encode(read(spark, sf_dir, "documents"), path), path)
+    read_back = encode_and_decode(read(spark, sf_dir, "documents"), path)
     return read_back.select("doc_id", "n_tokens", F.sha2("spelled", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
