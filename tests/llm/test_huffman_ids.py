@@ -15,7 +15,6 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 def library_ids(text):
     tok = Tokenizer.from_file(PATH)
-    tok.encode_special_tokens = True
     return tok.encode(text or "", add_special_tokens=False).ids + [1]
 
 
