@@ -8,7 +8,7 @@ from tidemark.plans.oracle import DRIVER_CONTRACT
 from tidemark.plans.registry import RULES
 from tidemark.sources.adapter import bronze_sources
 
-from conftest import SMOKE_DIR
+from smoke import SMOKE_DIR
 from test_suite import _minimal_bronze
 
 

@@ -9,7 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SMOKE_DIR
+from smoke import SMOKE_DIR
 from tidemark.plans import registry
 
 NAMES = [

@@ -7,7 +7,7 @@ from tidemark.plans.oracle import DRIVER_CONTRACT
 from tidemark.sources.adapter import with_delivery_columns
 from tidemark.streaming.monitor_stream import start_delay_monitor
 
-from conftest import SMOKE_DIR
+from smoke import SMOKE_DIR
 
 
 def test_stream_equals_batch(spark):

@@ -14,7 +14,7 @@ from tidemark.plans.silver import (
     validate_silver_tables,
 )
 
-from conftest import SMOKE_DIR
+from smoke import SMOKE_DIR
 
 
 #: Columns of the smallest warehouse that passes every rule; any other column
