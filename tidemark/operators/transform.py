@@ -13,7 +13,7 @@ from tidemark.functions.errors import Rule, any_rule, error_array, tag_when
 def _check_sources(bronze: DataFrame, table: Table) -> None:
     missing = set(table.sources) - set(bronze.columns)
     if missing:
-        raise ValueError(f"{table.name}: missing Bronze columns: {sorted(missing)}")
+        raise ValueError(f"{table.name}: the source lacks columns of the contract: {sorted(missing)}")
 
 
 def transform_table(bronze: DataFrame, table: Table) -> DataFrame:
