@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable
 
@@ -31,7 +32,7 @@ def require_format(spark: SparkSession, name: str, fmt: str, allow_view: bool =
     provider = table_provider(spark, name)
     if provider is None or provider == fmt.lower() or (allow_view and provider == "view"):
         return
-    raise ValueError(f"Refusing to overwrite non-{fmt} {name} (provider: {provider}).")
+    raise ValueError(f"{name} is stored as {provider}, not as {fmt}; it is left as it is")
 
 
 def require_source_format(spark: SparkSession, name: str, fmt: str) -> None:
@@ -60,10 +61,43 @@ def resolved_name(spark: SparkSession, namespace: str) -> str:
     return ".".join(parts if len(parts) > 1 else [spark.catalog.currentCatalog().casefold(), *parts])
 
 
+def _rename(spark: SparkSession, was: str, to: str) -> None:
+    """The new name is one of the same catalog, without it."""
+    spark.sql(f"ALTER TABLE {quote(was)} RENAME TO {quote(*to.split('.')[-2:])}")
+
+
+def recover_table(spark: SparkSession, name: str) -> str | None:
+    """Bring a table back to one whole state after a driver was lost within
+    ``replace_table``; returns what was done. The names that are left tell the
+    step: the old table steps aside only when the new one is complete, so a
+    new one beside an old one that has stepped aside takes its place; an old
+    one alone comes back; everything else beside a table is dropped."""
+    namespace, _, table = name.rpartition(".")
+    if not spark.catalog.databaseExists(namespace):
+        return None
+    left = {t.name for t in spark.catalog.listTables(namespace) if re.fullmatch(re.escape(table) + "__(new|old)_[0-9a-f]{12}", t.name)}
+    done = None
+    if not table_exists(spark, name):
+        for old in sorted(t for t in left if t.startswith(f"{table}__old_")):
+            fresh = old.replace("__old_", "__new_")
+            taken = fresh if fresh in left else old
+            _rename(spark, f"{namespace}.{taken}", name)
+            left.discard(taken)
+            done = "finished" if taken == fresh else "restored"
+            break
+    for rest in sorted(left):
+        spark.sql(f"DROP TABLE {quote(f'{namespace}.{rest}')}")
+        done = done or "cleaned"
+    return done
+
+
 def replace_table(spark: SparkSession, name: str, write: Callable[[str], None]) -> None:
     """Replace a table by what ``write`` puts into a table of the name it is
     given. The old table stays as it is until the new one is complete, and
-    comes back if it can't take its place; an unfinished one is dropped."""
+    comes back if it can't take its place; an unfinished one is dropped. What
+    an earlier call left, whose driver was lost, is put right first. One
+    writer a table at a time."""
+    recover_table(spark, name)
     mark = uuid.uuid4().hex[:12]
     fresh, old = f"{name}__new_{mark}", f"{name}__old_{mark}"
     try:
@@ -71,17 +105,14 @@ def replace_table(spark: SparkSession, name: str, write: Callable[[str], None])
     except BaseException:
         spark.sql(f"DROP TABLE IF EXISTS {quote(fresh)}")
         raise
-    def rename(was: str, to: str) -> None:  # the new name is one of the same catalog, without it
-        spark.sql(f"ALTER TABLE {quote(was)} RENAME TO {quote(*to.split('.')[-2:])}")
-
     moved = table_exists(spark, name)
     if moved:
-        rename(name, old)
+        _rename(spark, name, old)
     try:
-        rename(fresh, name)
+        _rename(spark, fresh, name)
     except BaseException:
         if moved:
-            rename(old, name)
+            _rename(spark, old, name)
         raise
     if moved:
         spark.sql(f"DROP TABLE {quote(old)}")
