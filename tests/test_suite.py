@@ -6,6 +6,7 @@ import pytest
 from tidemark.contract import TPCH_CONTRACT
 from tidemark.plans import registry
 from tidemark.plans.oracle import DRIVER_CONTRACT
+from tidemark.plans.tagged import tagged_report
 from tidemark.plans.silver import (
     fused_report,
     per_rule_report,
@@ -77,6 +78,7 @@ def test_fused_equals_per_rule_on_faulty_data(spark):
     bronze["lineitem"] = li.union(spark.createDataFrame([tuple(bad), tuple(first)], li.schema))
     tr = run_silver_transformations(bronze, TPCH_CONTRACT)
     fused = _report(fused_report(tr, TPCH_CONTRACT))
+    assert fused == _report(tagged_report(tr.bronze, TPCH_CONTRACT, registry.RULES))
     plain = _report(per_rule_report(rule_frames(tr, TPCH_CONTRACT)))
     assert fused == plain
     assert fused[("lineitem", "primary_key")] == (3, "FAILED")
@@ -113,6 +115,7 @@ def test_fused_report_with_brace_and_quote_in_whitelist(spark):
     rules = {"ship_mode": ["AIR", "{odd}", "it's"], "return_flag": ["N"], "line_status": ["O"]}
     report = _report(fused_report(tr, TPCH_CONTRACT, rules))
     assert report[("lineitem", "categories")] == (0, "PASSED")
+    assert report == _report(tagged_report(tr.bronze, TPCH_CONTRACT, rules))
     rules["ship_mode"] = ["{odd}", "it's"]
     assert _report(fused_report(tr, TPCH_CONTRACT, rules))[("lineitem", "categories")] == (1, "FAILED")
 
@@ -153,6 +156,7 @@ def test_hot_key_a_third_of_all_rows(spark):
     bronze["part"] = _widen(spark.range(50).select(F.col("id").alias("p_partkey")), bronze["part"], "p_partkey")
     tr = run_silver_transformations(bronze, TPCH_CONTRACT)
     fused = _report(fused_report(tr, TPCH_CONTRACT))
+    assert fused == _report(tagged_report(tr.bronze, TPCH_CONTRACT, registry.RULES))
     plain = _report(per_rule_report(rule_frames(tr, TPCH_CONTRACT)))
     assert fused == plain
     # the hot order repeats line numbers 0..399 (1000 rows); other orders are unique
@@ -199,7 +203,8 @@ def test_fused_equals_per_rule_property(spark, lines, orders):
         orows.append(tuple(r[c] for c in o.columns))
     bronze["orders"] = spark.createDataFrame(orows, o.schema)
     tr = run_silver_transformations(bronze, TPCH_CONTRACT)
-    assert _report(fused_report(tr, TPCH_CONTRACT)) == _report(per_rule_report(rule_frames(tr, TPCH_CONTRACT)))
+    plain = _report(per_rule_report(rule_frames(tr, TPCH_CONTRACT)))
+    assert _report(fused_report(tr, TPCH_CONTRACT)) == plain == _report(tagged_report(tr.bronze, TPCH_CONTRACT, registry.RULES))
 
 
 def test_fk_join_forms_agree(spark):
@@ -207,3 +212,41 @@ def test_fk_join_forms_agree(spark):
     anti = _report(fused_report(tr, DRIVER_CONTRACT, registry.RULES, fk_join="anti"))
     outer = _report(fused_report(tr, DRIVER_CONTRACT, registry.RULES, fk_join="outer"))
     assert anti == outer
+    assert _report(tagged_report(tr.bronze, DRIVER_CONTRACT, registry.RULES)) == anti
+
+
+@pytest.mark.parametrize(("only", "scans"), [(None, 2), (["lineitem"], 2), (["orders"], 1)])
+def test_tagged_report_scans_the_lines_once_for_all_keys(spark, only, scans):
+    """One scan for all keys and row-local rules, one for the date order (the
+    driver's partsupp is derived from the lines by a scan of its own)."""
+    bronze = registry.driver_silver(spark, SMOKE_DIR).bronze
+    plan = tagged_report(bronze, DRIVER_CONTRACT, registry.RULES, only=only)._jdf.queryExecution().optimizedPlan().toString()
+    derived = plan.count("% 10) = 0")
+    assert len([line for line in plan.splitlines() if "Relation" in line and "l_orderkey" in line]) == scans + derived
+    assert plan.count("Join") == scans - 1 and "Expand" in plan
+
+
+@pytest.mark.parametrize("only", [["lineitem"], ["region", "partsupp"]])
+def test_parts_of_the_tagged_report_equal_the_whole(spark, only):
+    bronze = registry.driver_silver(spark, SMOKE_DIR).bronze
+    whole = _report(tagged_report(bronze, DRIVER_CONTRACT, registry.RULES))
+    assert _report(tagged_report(bronze, DRIVER_CONTRACT, registry.RULES, only=only)) == {k: v for k, v in whole.items() if k[0] in only}
+
+
+def test_keys_of_text_and_nulls_meet_as_the_rules_say(spark):
+    """Text keys, null keys on both sides, repeated parents, an empty child."""
+    from tidemark.contract import Column, Contract, ForeignKey, Table
+
+    parent = Table("p", (Column("a", "a", "STRING", False), Column("b", "b", "INT", True)), ("a", "b"))
+    child = Table("c", (Column("id", "id", "BIGINT", False), Column("a", "a", "STRING", True), Column("b", "b", "INT", True)), ("id",))
+    other = Table("d", (Column("id", "id", "BIGINT", False), Column("a", "a", "STRING", True), Column("b", "b", "INT", True)), ("id",))
+    contract = Contract((parent, child, other), (ForeignKey("c", ("a", "b"), "p"), ForeignKey("d", ("a", "b"), "p")))
+    rows = {
+        "p": spark.createDataFrame([("x", 1), ("x", 1), ("y", None), ("y", None), ("z", 2)], "a STRING, b INT"),
+        "c": spark.createDataFrame([(1, "x", 1), (2, "y", None), (2, None, 1), (None, "z", 3), (None, "0", 0)], "id LONG, a STRING, b INT"),
+        "d": spark.createDataFrame([], "id LONG, a STRING, b INT"),
+    }
+    tr = run_silver_transformations(rows, contract)
+    report = {k: n for k, (n, _) in _report(tagged_report(rows, contract, registry.RULES)).items()}
+    assert report == {k: n for k, (n, _) in _report(per_rule_report(rule_frames(tr, contract))).items()}
+    assert report[("p", "primary_key")] == 4 and report[("c", "fk_p_a_b")] == 4 and report[("d", "fk_p_a_b")] == 0

@@ -33,6 +33,7 @@ from tidemark.plans.silver import (
     rule_frames,
     run_silver_transformations,
 )
+from tidemark.plans.tagged import tagged_report
 from tidemark.sources.adapter import bronze_sources
 from tidemark.sources.rules import load_logistics_rules
 from tidemark.sources.tables import read_table
@@ -463,7 +464,7 @@ COUNTED = {
 
 # --------------------------------------------------------------------------- suite
 def q_quality_report(spark, d):
-    return fused_report(driver_silver(spark, d), DRIVER_CONTRACT, RULES)
+    return tagged_report(driver_silver(spark, d).bronze, DRIVER_CONTRACT, RULES)
 
 
 def q_lineitem_report(spark, d):
