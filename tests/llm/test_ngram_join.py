@@ -97,7 +97,7 @@ def test_links_are_all_pairs_of_classes(spark, monkeypatch):
     rng = random.Random(5)
     base = [f"w{i}" for i in range(120)]
     rows = corpus(3) + [(5_000, None), (5_001, "lonely words of no one else here")]
-    for i in range(70):  # more members than hubs, all near copies of each other
+    for i in range(70):  # all near copies of each other
         t = list(base)
         t[rng.randrange(120)] = f"x{i}"
         rows.append((6_000 + i, " ".join(t)))

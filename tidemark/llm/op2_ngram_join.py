@@ -13,14 +13,16 @@ link when 100 * intersection >= 75 * union. The steps:
    hash in packed arrays; only lists of at least two classes go on.
 3. Lists with the same members count once. Length filter (0.75 n <= m) and
    positional filter (the overlap still possible at the shared shingle's
-   positions reaches the needed one). In a first round every member of a list
-   meets the list's hubs; in the second only members of different components
-   meet. That gives the components, and no link between different components
-   is lost.
+   positions reaches the needed one). Every member of a list meets the list's
+   hub; then the hub leaves the list, and what is left of lists with members
+   of several components elects the next hub, for ``HUB_ROUNDS`` rounds; in a
+   last one every two members of different components meet. That gives the
+   components, and no link between different components is lost.
 4. The suffix filter bounds a pair's overlap by its shingle counts in
    ``SUFFIX_CELLS`` hash ranges; what remains is checked by the exact
    intersection of the two texts' sets.
-5. Linked classes share a list and a component. A component's classes are
+5. ``ngram_components`` ends there. ``ngram_join`` also gives all links:
+   linked classes share a list and a component. A component's classes are
    dealt by size and a salt into blocks of about ``BLOCK_CLASSES`` classes or
    ``BLOCK_SHINGLES`` shingles; every block, and every two blocks with
    neighbouring sizes that share a list of the component, are intersected pair
@@ -63,7 +65,8 @@ CELLS = 1 << 20
 CELL_CHUNK = 1 << 16
 SUFFIX_CELLS = 128
 PART_POSTINGS = 1 << 19
-HUBS = 24
+#: Rounds in which the members of a list that are not yet connected meet one hub of it.
+HUB_ROUNDS = 4
 BLOCK_CLASSES, BLOCK_SHINGLES = 256, 1 << 16
 FLUSH_POSTINGS = 1 << 20
 SLICE_BYTES = 2 << 20
@@ -233,9 +236,9 @@ def _fits(n, p, m, q) -> np.ndarray:
 
 def _lists(pdf: pd.DataFrame) -> pd.DataFrame:
     """Postings of shingles that several classes share; and, without a list,
-    the distinct pairs of members with their lists' hubs that the filters let
-    meet. Hubs are the ``HUBS`` members of the smallest fingerprints: lists of
-    one group of copies then have few different hubs."""
+    the distinct pairs of members with their list's hub that the filters let
+    meet. The hub is the member of the smallest fingerprint: lists of one
+    group of copies then have few different hubs."""
     columns = ([], [], [], [])
     for packed in pdf["packed"]:
         size = len(packed) // 20
@@ -256,14 +259,10 @@ def _lists(pdf: pd.DataFrame) -> pd.DataFrame:
     length = np.diff(np.append(head, len(key)))
     number = np.repeat(np.arange(len(head)), length)
     many = length[number] > 1
-    own = np.flatnonzero(many)
-    met = []
-    for k in range(HUBS):
-        own = own[own > head[number[own]] + k]
-        hub = head[number[own]] + k
-        meets = _fits(n[hub], pos[hub], n[own], pos[own])
-        met.append(np.stack([f1[own[meets]], f1[hub[meets]]], 1))
-    met = np.unique(np.concatenate(met), axis=0)
+    own = np.flatnonzero(~first)
+    hub = head[number[own]]
+    meets = _fits(n[hub], pos[hub], n[own], pos[own])
+    met = np.unique(np.stack([f1[own[meets]], f1[hub[meets]]], 1), axis=0)
     shared = int(pdf["part"].iloc[0]) << 32 | key
     lists = pd.DataFrame({"list": shared, "f1": f1, "n": n, "pos": pos})[many]
     pairs = pd.DataFrame({"f1": met[:, 0], "hub": met[:, 1]})
@@ -415,13 +414,8 @@ def _all_links(texts: DataFrame, lists: DataFrame, roots: DataFrame, classes: Da
     return stage(own.unionByName(cross).mapInArrow(_check_blocks, LINK_SCHEMA), "ngram-all-links")
 
 
-def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", key_col: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(members, links): members is ``(doc_id, n_shingles, class,
-    component_id, n_links, root, key)``, a row per row of ``df``; ``root`` is
-    equal exactly within a component (null for wordless texts), ``key`` the
-    string column ``key_col`` passed on; links is ``(a, b, overlap)`` of every
-    two different classes that link."""
-    spark = df.sparkSession
+def _scanned(df: DataFrame, id_col: str, text_col: str, key_col: str | None) -> tuple[DataFrame, DataFrame, DataFrame, np.ndarray]:
+    """(id and text of each row, id, size and class of each row, classes, counts by cell)."""
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     key = F.lit(None).cast("string") if key_col is None else F.col(key_col)
     keyed = df.select(F.col(id_col).cast("long").alias("doc_id"), key.alias("key"), F.col(text_col).alias("text"))
@@ -434,6 +428,28 @@ def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ke
     classes = stage(
         rows.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("rep"), F.first("f1").alias("f1"), F.first("n").alias("n"), F.count(F.lit(1)).alias("copies")), "ngram-classes"
     )
+    return docs, rows, classes, counts
+
+
+def _can_link(x: str, y: str):
+    """Length and positional filters between the postings ``x`` and ``y``."""
+    can = F.expr(f"least({x}.pos, {y}.pos) + least({x}.n - {x}.pos, {y}.n - {y}.pos)")
+    need = F.ceil(F.expr(f"{x}.n + {y}.n") * PERCENT / (100 + PERCENT))
+    return F.expr(f"100 * least({x}.n, {y}.n) >= {PERCENT} * greatest({x}.n, {y}.n)") & (can >= need)
+
+
+def _ordered(x: str, y: str) -> list:
+    return [F.least(f"{x}.class", f"{y}.class").alias("a"), F.greatest(f"{x}.class", f"{y}.class").alias("b")]
+
+
+def _connected(docs: DataFrame, classes: DataFrame, counts: np.ndarray) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(class and root of linked classes, texts of listed classes, postings
+    (list, class) of shared prefix shingles).
+
+    In each round the members of a list meet its hub, which then leaves the
+    list, having met all; lists whose members are one component are done. In
+    the last round every two members of different components meet."""
+    spark = docs.sparkSession
     total = classes.agg(F.sum(F.expr(f"n div {round(100 / (100 - PERCENT))} + 1"))).first()[0] or 0
     bits = max(0, int(total / PART_POSTINGS).bit_length())
     packed = docs.mapInArrow(_postings(spark.sparkContext.broadcast(counts), bits), "part long, packed binary")
@@ -442,46 +458,79 @@ def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ke
     lists = stage(_same_members(found.filter("hub IS NULL").drop("hub")), "ngram-lists")
 
     named = classes.select("f1", "class")
-    listed = lists.select("f1").distinct().join(classes, "f1").select("class", "rep")
-    listed = stage(listed, "ngram-listed")
+    listed = stage(lists.select("f1").distinct().join(classes, "f1").select("class", "rep"), "ngram-listed")
     wanted = docs.filter(maybe_among(listed, "rep", F.col("doc_id"))).mapInArrow(_pack_texts, "doc_id long, f1 long, f2 long, n long, cells binary, text binary")
     wanted = wanted.select("doc_id", _class().alias("class"), "n", "cells", "text")
     same = (wanted["class"] == listed["class"]) & wanted["doc_id"].eqNullSafe(listed["rep"])
     texts = stage(wanted.join(listed, same, "left_semi").dropDuplicates(["class"]), "ngram-texts")
 
-    def by_class(pairs: DataFrame) -> DataFrame:
-        """(x, y) of first fingerprints -> distinct (a, b) of classes, a < b."""
-        a = pairs.distinct().join(named.select(F.col("f1").alias("x"), F.col("class").alias("p")), "x")
-        b = a.join(named.select(F.col("f1").alias("y"), F.col("class").alias("q")), "y")
-        return b.filter("p != q").select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
-
-    tried = stage(by_class(hubs), "ngram-pairs")
-    links = stage(_verified(tried, texts), "ngram-links")
-    roots = components(links.select("a", "b"))
-
-    # second round: members of one list in different components
-    placed = lists.select("list", "f1", "n", "pos").join(named, "f1").join(roots.withColumnRenamed("v", "class"), "class", "left")
-    placed = placed.withColumn("root", F.coalesce("root", "class")).drop("f1")
-    mixed = placed.groupBy("list").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("list")
-    placed = stage(placed.join(mixed, "list", "left_semi"), "ngram-mixed")
-    x, y = placed.alias("x"), placed.alias("y")
-    can = F.expr("least(x.pos, y.pos) + least(x.n - x.pos, y.n - y.pos)")
-    need = F.ceil(F.expr("x.n + y.n") * PERCENT / (100 + PERCENT))
-    near = F.expr(f"100 * least(x.n, y.n) >= {PERCENT} * greatest(x.n, y.n)")
-    cross = x.join(y, (F.col("x.list") == F.col("y.list")) & (F.col("x.root") < F.col("y.root")) & near & (can >= need))
-    cross = cross.select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
-    more = stage(_verified(cross.join(tried, ["a", "b"], "left_anti"), texts), "ngram-more-links")
-    if more.isEmpty():
-        joined = roots
-    else:
-        joined = components(links.unionByName(more).select("a", "b"))
-    placed = classes.join(joined.withColumnRenamed("v", "class"), "class", "left").select("class", "rep", F.coalesce("root", "class").alias("root"))
+    a = hubs.distinct().join(named.select(F.col("f1").alias("x"), F.col("class").alias("p")), "x")
+    b = a.join(named.select(F.col("f1").alias("y"), F.col("class").alias("q")), "y")
+    pairs = b.filter("p != q").select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
+    left = None  # postings of members that have not met all others of their list
+    tried = links = roots = None
+    for k in range(HUB_ROUNDS + 1):
+        pairs = stage(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "ngram-pairs")
+        new = stage(_verified(pairs, texts).select("a", "b"), "ngram-links")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        if roots is None or not new.isEmpty():
+            links = new if links is None else links.unionByName(new)
+            roots = components(links)
+        if k == HUB_ROUNDS:
+            break
+        left = _still_mixed(lists, named, left, roots)
+        if left.isEmpty():
+            break
+        if k + 1 == HUB_ROUNDS:
+            x, y = left.alias("x"), left.alias("y")
+            meet = x.join(y, (F.col("x.list") == F.col("y.list")) & (F.col("x.root") < F.col("y.root")) & _can_link("x", "y"))
+        else:
+            hub = left.groupBy("list").agg(F.min(F.struct("f1", "class", "n", "pos", "root")).alias("h")).select("list", "h.*")
+            x, y = left.alias("x"), hub.alias("y")
+            meet = x.join(y, (F.col("x.list") == F.col("y.list")) & (F.col("x.root") != F.col("y.root")) & _can_link("x", "y"))
+        pairs = meet.select(*_ordered("x", "y")).distinct()
+    return roots, texts, lists.select("list", "f1").join(named, "f1").select("list", "class")
+
+
+def _still_mixed(lists: DataFrame, named: DataFrame, left: DataFrame | None, roots: DataFrame) -> DataFrame:
+    """``(list, f1, class, n, pos, root)`` of lists with members of several
+    components, without the hub that the last round let them meet."""
+    if left is None:
+        left = lists.select("list", "f1", "n", "pos").join(named, "f1")
+    left = left.select("list", "f1", "class", "n", "pos")
+    hub = left.groupBy("list").agg(F.min("f1").alias("f1"))
+    left = left.join(hub, ["list", "f1"], "left_anti").join(roots.withColumnRenamed("v", "class"), "class", "left")
+    left = left.withColumn("root", F.coalesce("root", "class"))
+    mixed = left.groupBy("list").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("list")
+    return stage(left.join(mixed, "list", "left_semi").select("list", "f1", "class", "n", "pos", "root"), "ngram-mixed")
+
+
+def _components(classes: DataFrame, roots: DataFrame) -> DataFrame:
+    """``(class, root, component_id)`` of every class."""
+    placed = classes.join(roots.withColumnRenamed("v", "class"), "class", "left").select("class", "rep", F.coalesce("root", "class").alias("root"))
     least = placed.groupBy("root").agg(F.min("rep").alias("component_id"))
-    found = stage(placed.join(least, "root").select("class", "root", "component_id"), "ngram-components")
+    return stage(placed.join(least, "root").select("class", "root", "component_id"), "ngram-components")
+
 
-    # third round: every pair of a component's classes
-    linked = joined.withColumnRenamed("v", "class")
-    links = _all_links(texts, lists.select("list", "f1").join(named, "f1").select("list", "class"), linked, classes)
+def ngram_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", key_col: str | None = None) -> DataFrame:
+    """``(doc_id, n_shingles, class, component_id, root, key)``, a row per row
+    of ``df``: ``root`` is equal exactly within a component (null for wordless
+    texts), ``key`` the string column ``key_col`` passed on. Pairs are only
+    verified until the components stand."""
+    docs, rows, classes, counts = _scanned(df, id_col, text_col, key_col)
+    roots, _, _ = _connected(docs, classes, counts)
+    members = rows.join(_components(classes, roots), "class", "left")
+    return members.select("doc_id", F.col("n").alias("n_shingles"), "class", F.coalesce("component_id", "doc_id").alias("component_id"), "root", "key")
+
+
+def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", key_col: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(members, links): members as ``ngram_components`` has them, with
+    ``n_links``; links is ``(a, b, overlap)`` of every two different classes
+    that link, found within each component once it stands."""
+    docs, rows, classes, counts = _scanned(df, id_col, text_col, key_col)
+    roots, texts, lists = _connected(docs, classes, counts)
+    found = _components(classes, roots)
+    links = _all_links(texts, lists, roots.withColumnRenamed("v", "class"), classes)
     ends = links.select(F.col("a").alias("class"), F.col("copies_b").alias("n")).unionByName(links.select(F.col("b").alias("class"), F.col("copies_a").alias("n")))
     others = ends.groupBy("class").agg(F.sum("n").alias("others"))
     counted = classes.join(others, "class", "left").select("class", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
@@ -494,4 +543,4 @@ def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ke
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join(read(spark, sf_dir, "documents"))[0].select("doc_id", "n_shingles", "component_id")
+    return ngram_components(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
