@@ -49,3 +49,10 @@ def test_mixed_scripts_spans_nulls_and_empty(spark):
     assert op.predict(df.filter("false"), model).count() == 0
     none = op.train(spark.createDataFrame([(1, "a", None)], "id long, text string, lang string"))
     assert {r.lang_pred for r in op.predict(df, none).collect()} == {"und"}
+
+
+def test_more_languages_than_a_byte_counts():
+    scores = np.zeros((6, 300), np.float32)
+    scores[:4, 290] = 3
+    scores[4:, 34] = 9
+    assert op.viterbi(scores, np.array([6]), 1.0).tolist() == [290] * 4 + [34] * 2

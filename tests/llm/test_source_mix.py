@@ -3,6 +3,7 @@ import random
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import op1_source_mix as op
 
@@ -57,3 +58,10 @@ def test_budget_below_one_pass_and_empty_table(spark):
     got = op.source_mix(docs, None, None, budget=305).toPandas()
     assert got["n_tokens"].sum() == 310 and got["doc_id"].is_unique
     assert op.source_mix(docs.filter("false")).count() == 0
+
+
+def test_rows_of_one_id_have_one_order(spark):
+    tokens = spark.createDataFrame([(7, "a", n) for n in (50, 3, 200, 8)], "doc_id long, source string, n long")
+    plan = spark.createDataFrame([("a", 261, 4, 261, 60)], "source string, total long, docs long, budget long, quota long")
+    blocks = [{r.n_tokens: r.block for r in op.mix(tokens.orderBy(o), plan).collect()} for o in ("n", F.desc("n"))]
+    assert blocks[0] == blocks[1] == {3: 0, 8: 0, 50: 0, 200: 1}

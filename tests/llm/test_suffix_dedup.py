@@ -84,3 +84,12 @@ def test_column_sort_equals_brute_force():
         for i in range(300):
             w = symbols[c : c + 8, i]
             assert got[c, i] == ((w != op.END).all() and seen[group[i], bytes(w.astype(np.uint8))] > 1)
+
+
+def test_equal_windows_pick_alike_in_batches_of_any_size():
+    rng = np.random.default_rng(9)
+    text = rng.integers(97, 101, 5_000).astype(np.uint8)
+    alone, _ = op.anchors(text, np.array([0, len(text)]))
+    padding = rng.integers(97, 101, 300_000).astype(np.uint8)
+    both, _ = op.anchors(np.concatenate([text, padding]), np.array([0, len(text), len(text) + len(padding)]))
+    assert alone.tolist() == [p for p in both.tolist() if p < len(text)]

@@ -171,7 +171,7 @@ def mix(tokens: DataFrame, plan: DataFrame, seed: str = SEED) -> DataFrame:
     ahead = Window.partitionBy("source", "pass").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     cells = stage(cells.withColumn("__before", F.coalesce(F.sum("__sum").over(ahead), F.lit(0)).cast("long")).drop("__sum"), "mix-cells")
     cells = cells.select(*[F.col(c).alias(f"__{c}") for c in key], "__before")
-    inside = Window.partitionBy(*key).orderBy("order_key", "doc_id", *carried).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*key).orderBy("order_key", "doc_id", "n", *carried).rowsBetween(Window.unboundedPreceding, -1)
     same = [rows[c].eqNullSafe(cells[f"__{c}"]) for c in key]
     offset = F.col("pass") * F.col("total") + F.col("__before") + F.coalesce(F.sum("n").over(inside), F.lit(0))
     placed = rows.join(cells, same[0] & same[1] & same[2]).withColumn("__at", offset.cast("long"))

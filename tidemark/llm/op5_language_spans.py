@@ -187,7 +187,8 @@ def viterbi(scores: np.ndarray, sizes: np.ndarray, penalty: float = SWITCH_PENAL
     """The best label of every word; ``sizes`` words belong to each text.
     All texts take step t together."""
     n, k = scores.shape
-    labels = np.zeros(n, np.uint8)
+    kind = np.min_scalar_type(max(k - 1, 0))
+    labels = np.zeros(n, kind)
     if k < 2 or not n:
         return labels
     by_size = np.argsort(-sizes, kind="stable")
@@ -201,7 +202,7 @@ def viterbi(scores: np.ndarray, sizes: np.ndarray, penalty: float = SWITCH_PENAL
         order[begin[t] : begin[t + 1]] = first[: live[t]] + t
     stepwise = scores[order]
     stay = np.ones((n, k), bool)
-    source = np.zeros(n, np.uint8)
+    source = np.zeros(n, kind)
     best = stepwise[: live[0]].copy()
     for t in range(1, longest):
         a, m = begin[t], live[t]
@@ -212,8 +213,8 @@ def viterbi(scores: np.ndarray, sizes: np.ndarray, penalty: float = SWITCH_PENAL
         np.greater_equal(now, jump[:, None], out=stay[a : a + m])
         np.maximum(now, jump[:, None], out=now)
         now += stepwise[a : a + m]
-    state = best.argmax(1).astype(np.uint8)  # of each text's last word
-    out = np.empty(n, np.uint8)
+    state = best.argmax(1).astype(kind)  # of each text's last word
+    out = np.empty(n, kind)
     for t in range(longest - 1, -1, -1):
         a, m = begin[t], live[t]
         out[a : a + m] = state[:m]

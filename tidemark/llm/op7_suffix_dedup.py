@@ -61,6 +61,9 @@ END = 256  # a place behind a text's end; equals nothing
 
 # ---- anchors ---------------------------------------------------------------------
 
+#: Bits of a position in a batch of texts; the hash's other bits rank strings.
+POSITION_BITS = 32
+
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
     """(position, hash) of the string that each window of ``length`` bytes
@@ -71,8 +74,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: i
     up, down = powers(max(n, SLICE_BYTES))
     sums = np.concatenate([[np.uint64(0)], np.cumsum(LETTERS[data] * up[:n])])
     hashes = mix((sums[gram:] - sums[: n - gram + 1]) * down[: n - gram + 1])
-    bits = n.bit_length()
-    low = np.uint64((1 << bits) - 1)
+    low = np.uint64((1 << POSITION_BITS) - 1)  # as many for every batch, so that equal windows pick alike
     ranked = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64)  # the leftmost of equal hashes
     width = length - gram + 1
     pad = -len(ranked) % width
