@@ -45,7 +45,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near copies one document with the smallest id
     stays (one without an id only if none has one)."""
     key = F.md5(F.coalesce("text", F.lit("")))
-    members, _ = op2_ngram_join.ngram_join(docs.withColumn("__key", key), key_col="__key")
+    members = op2_ngram_join.ngram_components(docs.withColumn("__key", key), key_col="__key")
     row = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "key")
     members = stage(members.filter("root IS NOT NULL").select("root", row.alias("row")), "pipeline-near-members")
     best = members.groupBy("root").agg(F.min("row").alias("best"), F.count(F.lit(1)).alias("size")).filter("size > 1")
