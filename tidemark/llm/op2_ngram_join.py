@@ -11,9 +11,11 @@ link when 100 * intersection >= 75 * union. The steps:
 2. A second scan emits the first n - ceil(0.75 n) + 1 shingles of each class.
    Two classes that link share one of them. They are grouped by ranges of the
    hash in packed arrays; only lists of at least two classes go on.
-3. Lists with the same members count once. Length filter (0.75 n <= m) and
-   positional filter (the overlap still possible at the shared shingle's
-   positions reaches the needed one). Every member of a list meets the list's
+3. Length filter (0.75 n <= m) and positional filter: at the first shingle that
+   two classes share, both have as many shingles left as a link needs. A list
+   is dropped if no member has as many left as a link to one of its own size
+   needs; lists with the same members count once, at each member's first
+   position in them. Every member of a list meets the list's
    hub; then the hub leaves the list, and what is left of lists with members
    of several components elects the next hub, for ``HUB_ROUNDS`` rounds; in a
    last one every two members of different components meet. That gives the
@@ -229,13 +231,14 @@ LIST_SCHEMA = "list long, f1 long, n long, pos long, hub long"
 
 
 def _fits(n, p, m, q) -> np.ndarray:
-    """Length and positional filters for sizes n, m and positions p, q."""
-    can = np.minimum(p, q) + np.minimum(n - p, m - q)
+    """Length and positional filters for sizes n, m and positions p, q, as they
+    hold at the first shingle that the two sets share."""
+    can = np.minimum(n - p, m - q)
     return (100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m)) & (can >= needed(n, m))
 
 
 def _lists(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Postings of shingles that several classes share; and, without a list,
+    """Postings of shingles that several classes share, of which two may fit; and, without a list,
     the distinct pairs of members with their list's hub that the filters let
     meet. The hub is the member of the smallest fingerprint: lists of one
     group of copies then have few different hubs."""
@@ -248,7 +251,7 @@ def _lists(pdf: pd.DataFrame) -> pd.DataFrame:
             c.append(np.frombuffer(packed, kind, size, at))
             at += size * width
     key, f1, n, pos = (np.concatenate(c).astype(np.int64) for c in columns)
-    by = np.lexsort((f1, key))
+    by = np.lexsort((pos, f1, key))
     key, f1, n, pos = (c[by] for c in (key, f1, n, pos))
     fresh = np.ones(len(key), bool)
     fresh[1:] = (key[1:] != key[:-1]) | (f1[1:] != f1[:-1])  # copies read by several tasks
@@ -258,11 +261,14 @@ def _lists(pdf: pd.DataFrame) -> pd.DataFrame:
     head = np.flatnonzero(first)
     length = np.diff(np.append(head, len(key)))
     number = np.repeat(np.arange(len(head)), length)
-    many = length[number] > 1
     own = np.flatnonzero(~first)
     hub = head[number[own]]
     meets = _fits(n[hub], pos[hub], n[own], pos[own])
     met = np.unique(np.stack([f1[own[meets]], f1[hub[meets]]], 1), axis=0)
+    early = np.maximum.reduceat((n - pos >= needed(n, n)).astype(np.int64), head)  # of two that fit, the smaller one is early
+    alone = np.ones(len(head), np.int64)  # the hub and the only other member do not fit
+    alone[number[own[meets]]] = 0
+    many = ((length > 2) & (early > 0) | (length == 2) & (alone == 0))[number]
     shared = int(pdf["part"].iloc[0]) << 32 | key
     lists = pd.DataFrame({"list": shared, "f1": f1, "n": n, "pos": pos})[many]
     pairs = pd.DataFrame({"f1": met[:, 0], "hub": met[:, 1]})
@@ -276,7 +282,10 @@ def _same_members(lists: DataFrame, member: str = "f1") -> DataFrame:
     members = lists.groupBy("list").agg(
         F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64(member)).alias("x"), F.bit_xor(F.xxhash64(member, F.lit(1))).alias("y")
     )
-    return lists.join(members.groupBy("size", "x", "y").agg(F.min("list").alias("list")).select("list"), "list", "left_semi")
+    if "pos" not in lists.columns:
+        return lists.join(members.groupBy("size", "x", "y").agg(F.min("list").alias("list")).select("list"), "list", "left_semi")
+    kind = F.struct("size", "x", "y")
+    return lists.join(members, "list").groupBy(kind.alias("kind"), member, "n").agg(F.min("pos").alias("pos"), F.min("list").alias("list")).drop("kind")
 
 
 def suffix_counts(one: np.ndarray) -> np.ndarray:
@@ -433,7 +442,7 @@ def _scanned(df: DataFrame, id_col: str, text_col: str, key_col: str | None) ->
 
 def _can_link(x: str, y: str):
     """Length and positional filters between the postings ``x`` and ``y``."""
-    can = F.expr(f"least({x}.pos, {y}.pos) + least({x}.n - {x}.pos, {y}.n - {y}.pos)")
+    can = F.expr(f"least({x}.n - {x}.pos, {y}.n - {y}.pos)")
     need = F.ceil(F.expr(f"{x}.n + {y}.n") * PERCENT / (100 + PERCENT))
     return F.expr(f"100 * least({x}.n, {y}.n) >= {PERCENT} * greatest({x}.n, {y}.n)") & (can >= need)
 
