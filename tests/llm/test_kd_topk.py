@@ -28,24 +28,36 @@ def test_query_equals_sql_with_ties_and_unusable_vectors(spark, tmp_path, duck,
     _same(op.query(spark, path).toPandas(), duck(op.ORACLE_SQL, embeddings=f"{path}/embeddings.parquet/*.parquet"))
 
 
+def test_repeated_ids_and_wide_components_equal_sql(spark, tmp_path, duck, monkeypatch):
+    monkeypatch.setattr(op, "SHARD_ROWS", 100)
+    monkeypatch.setattr(op, "BLOCK_QUERIES", 8)
+    rng = np.random.default_rng(4)
+    rows = [(int(i), (rng.normal(size=4) * 2.0 ** rng.integers(0, 20)).tolist()) for i in rng.integers(0, 120, 500)]  # different rows of one id
+    rows += [(i, [2.0**25 + 4 * (i % 9), 1.0, -2.0, 3.0]) for i in (20, 41, 42, 43)]  # beyond 32 bits
+    rows += [(40, [3.0, 1.0, 2.0, 0.0])] * 60 + [(77, [2.0**25 + 64, 8.0, 8.0, 1.0])] * 70  # copies of a query, of a best candidate
+    path = str(tmp_path)
+    _write(spark, path, rows)
+    _same(op.query(spark, path).toPandas(), duck(op.ORACLE_SQL, embeddings=f"{path}/embeddings.parquet/*.parquet"))
+
+
 def test_lengths_repeats_few_candidates_and_empty(spark, tmp_path):
     rows = [(0, [1.0, 1.0]), (0, [1.0, 1.0]), (1, [1.0, 2.0]), (20, [1.0, 1.0, 1.0]), (None, [9.0, 9.0]), (40, [])]
     _write(spark, str(tmp_path / "a"), rows)
     got = op.query(spark, str(tmp_path / "a")).collect()
-    assert [tuple(r) for r in got] == [(0, 1, 1, 64 * 64 + 64 * 128)]
+    assert [tuple(r) for r in got] == [(0, rank, 1, 64 * 64 + 64 * 128) for rank in (1, 2)]
     _write(spark, str(tmp_path / "b"), [])
     assert op.query(spark, str(tmp_path / "b")).count() == 0
 
 
 def test_large_components_stay_exact_and_trees_cover_their_rows():
     rng = np.random.default_rng(2)
-    for top in (40, 1 << 30):
-        v = rng.integers(-top, top, (2000, 4)).astype(np.int32)
+    for top in (40, 1 << 30, 1 << 33):
+        v = rng.integers(-top, top, (2000, 4)).astype(np.int32 if top < 1 << 31 else np.int64)
         ids = np.arange(2000)
         tree = op.build_tree(ids, v)
         row = {"dim": 4} | {k: a.tobytes() for k, a in tree.items()}
         q = v[7]
         got, scores = op.search(op._tree(row), 7, op._as(op._tree(row), q[None])[0], 20, -np.inf)
-        every = [(-sum(int(a) * int(b) for a, b in zip(x, q)), i) for i, x in enumerate(v) if i != 7]
+        every = [(-max(-op.TOP, min(op.TOP, sum(int(a) * int(b) for a, b in zip(x, q)))), i) for i, x in enumerate(v) if i != 7]
         assert [(-int(s), i) for i, s in zip(got, scores)] == sorted(every)[:20]
         assert sorted(tree["ids"]) == list(ids)

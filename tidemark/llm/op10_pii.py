@@ -6,8 +6,10 @@ patterns are the word before it and the word after it, and an instance that
 overlaps a base span is known. In each of ``ROUNDS`` rounds a pattern's score
 is the mean score of its distinct instances (one is added to their number, so
 that rare patterns stay low), and an unknown instance's score is that of its
-best pattern with at least ``LEAST_SEEDS`` known instances. Unknown instances
-that end at ``CONFIDENT`` or above are added as spans of kind ``other``.
+best pattern with at least ``LEAST_SEEDS`` known instances. Occurrences that
+overlap no base span are added as spans of kind ``other``: those of unknown
+instances that end at ``CONFIDENT`` or above, and those of instances known from
+elsewhere that stand in such a pattern of ``CONFIDENT`` or above themselves.
 
 One scan computes the spans and instances of each text; only texts with a
 digit or an at sign are searched. Scores move over the graph of distinct
@@ -15,6 +17,8 @@ digit or an at sign are searched. Scores move over the graph of distinct
 
 The expressions equal the leftmost, greedy patterns of the kinds but never
 try a start within a run that has failed, so long runs cost their length.
+Offsets are summed in blocks of ``BLOCK`` matches, so a text costs about its
+matches times ``BLOCK``.
 
 Defined cases: null text is empty and has no spans; rows with a null or
 repeated id are told apart by their text, and identical rows get identical
@@ -34,6 +38,7 @@ ROUNDS = 3
 LEAST_SEEDS = 3
 CONFIDENT = 0.6
 CONTEXT_CHARS = 80
+BLOCK = 256
 
 _LOCAL, _LABEL = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]"
 #: Kind -> (expression, what a text must hold).
@@ -71,15 +76,23 @@ def _matches(text: Column, expression: str, keep, build, kind: str) -> Column:
     pieces = F.split(text, expression, -1)
     after = F.slice(pieces, 2, F.greatest(F.size(found), F.lit(0)))
     rows = F.arrays_zip(F.slice(pieces, 1, F.size(found)).alias("before"), found.alias("match"), after.alias("after"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
+    one = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
 
     def step(state: Column, row: Column) -> Column:
         begin = state["at"] + F.length(row["before"])
         end = begin + F.length(row["match"])
-        one = F.array(build(begin, end, row)).cast(kind)
-        return F.struct(end.alias("at"), F.when(keep(row["match"]), F.concat(state["out"], one)).otherwise(state["out"]).alias("out"))
+        new = F.array(build(begin, end, row)).cast(kind)
+        return F.struct(end.alias("at"), F.when(keep(row["match"]), F.concat(state["out"], new)).otherwise(state["out"]).alias("out"))
 
-    return F.aggregate(rows, start, step, lambda s: s["out"])
+    # every block's matches are appended to a short array, every block's array to one of blocks
+    many = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
+
+    def block(state: Column, number: Column) -> Column:
+        some = F.aggregate(F.slice(rows, number * BLOCK + 1, F.lit(BLOCK)), F.struct(state["at"].alias("at"), one["out"].alias("out")), step)
+        return F.transform(F.array(some), lambda x: F.struct(x["at"].alias("at"), F.concat(state["out"], F.array(x["out"])).alias("out")))[0]
+
+    blocks = F.sequence(F.lit(0), F.floor(F.size(found) / BLOCK).cast("int"))
+    return F.aggregate(blocks, many, block, lambda s: F.flatten(s["out"]))
 
 
 def base_spans(text: Column, kind: str) -> Column:
@@ -146,9 +159,15 @@ def find_pii(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     """``(doc_id, key, email, ip, card, phone, other)``: arrays of spans."""
     scanned = stage(scan(df, id_col, text_col), "pii-spans")
     found = stage(occurrences(scanned), "pii-instances")
-    scores, _ = bootstrap(found)
+    scores, patterns = bootstrap(found)
     new = scores.filter(~F.col("known") & (F.col("score") >= CONFIDENT)).select("word")
-    other = found.join(new, "word").groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("other"))
+    added = found.join(new, "word").select("key", "start", "end")
+    again = found.filter(~F.col("known")).join(scores.filter("known").select("word"), "word")
+    sides = F.explode(F.array(*[F.struct(F.lit(s).alias("side"), F.col(s).alias("context")) for s in ("left", "right")]))
+    strong = patterns.filter((F.col("seeds") >= LEAST_SEEDS) & (F.col("score") >= CONFIDENT)).select("side", "context")
+    again = again.select("key", "start", "end", sides.alias("p")).select("key", "start", "end", "p.*").join(strong, ["side", "context"])
+    every = added.unionByName(again.select("key", "start", "end").distinct())
+    other = every.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("other"))
     rows = scanned.drop("words").join(other, "key", "left")
     return rows.withColumn("other", F.coalesce("other", F.array().cast(SPAN)))
 

@@ -1,6 +1,6 @@
 """Exact top-k inner products with a KD-tree per shard.
 
-Vectors are dealt to shards by a hash of their id. Each shard builds a tree
+Vectors are dealt to shards by a hash of their row. Each shard builds a tree
 by median splits of its widest component down to ``LEAF_ROWS`` vectors, every
 node with the tight bounding box of its vectors. Queries travel in blocks; a
 block meets one shard per row of the joined table, so no task holds more than
@@ -10,11 +10,14 @@ bound below its k-th score. Each query's k-th score in its block's first shard
 is carried to all others, where it prunes from the start.
 
 Defined cases: a vector that is null, empty or holds null or non-finite
-components, or has no id, takes no part; components are floor(scale * x) within 32 bits;
-vectors of different lengths do not meet; rows with the same id count once,
-with the smallest vector; equal scores go by smaller id; fewer than k
-candidates give fewer rows; an empty table gives an empty result; other
-columns are not read.
+components, or has no id, takes no part; components are floor(scale * x) as longs;
+sums are exact at any size (doubles, longs or Python's integers, by the values),
+and one that a long cannot hold counts as the nearest long, -(2^63 - 1) at least;
+vectors of different lengths do not meet; every row is a candidate of its own, also
+one whose id occurs again, but for rows with the query's id; query rows of one id
+have one list, the k best of all their scores; equal scores go by smaller id; fewer
+than k candidates give fewer rows; an empty table gives an empty result; other
+columns are not read. Equal rows travel once, with their number up to k.
 """
 
 from __future__ import annotations
@@ -51,28 +54,31 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= {K}
 """
 INDEX_SCHEMA = "shard long, dim int, ids binary, vectors binary, begin binary, end binary, left binary, lo binary, hi binary"
-BLOCK_SCHEMA = "block long, dim int, ids binary, vectors binary"
+BLOCK_SCHEMA = "block long, dim int, ids binary, vectors binary, copies binary"
+TOP = 2**63 - 1
 
 
 def quantised(vector: Column, scale: int = SCALE) -> Column:
-    """floor(scale * x) in doubles as 32-bit integers; null if not usable."""
+    """floor(scale * x) in doubles as longs; null if not usable."""
     fine = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    whole = F.transform(vector, lambda x: F.floor(F.least(F.greatest(x.cast("double") * scale, F.lit(-2.0**31)), F.lit(2.0**31 - 1))).cast("int"))
+    whole = F.transform(vector, lambda x: F.floor(x.cast("double") * scale))
     return F.when(fine & (F.size(vector) > 0), whole)
 
 
-def _rows(pdf: pd.DataFrame) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(dimension, ids ascending, vectors) of one group, ids once."""
-    best: dict[int, tuple] = {}
-    for i, v in zip(pdf["id"], pdf["v"]):
-        v = tuple(v)
-        if i not in best or v < best[i]:
-            best[i] = v
-    by_dim: dict[int, list] = {}
-    for i in sorted(best):
-        by_dim.setdefault(len(best[i]), []).append(i)
-    for dim, ids in by_dim.items():
-        yield dim, np.array(ids, np.int64), np.array([best[i] for i in ids], np.int32).reshape(len(ids), dim)
+def _rows(pdf: pd.DataFrame) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(dimension, ids ascending, vectors, copies) of one group's rows."""
+    for dim, some in pdf.sort_values("id", kind="stable").groupby(pdf["v"].map(len)):
+        vectors = np.stack(some["v"].to_numpy()).astype(np.int64)
+        if vectors.min() >= -(2**31) and vectors.max() < 2**31:
+            vectors = vectors.astype(np.int32)
+        yield int(dim), some["id"].to_numpy(np.int64), vectors, some["copies"].to_numpy(np.int64)
+
+
+def _longs(values: np.ndarray) -> np.ndarray:
+    """Python's integers as the nearest longs; other numbers as they are."""
+    if values.dtype != object:
+        return values
+    return np.array([max(-TOP, min(TOP, x)) for x in values.tolist()], np.int64)
 
 
 def build_tree(ids: np.ndarray, vectors: np.ndarray) -> dict[str, np.ndarray]:
@@ -86,7 +92,7 @@ def build_tree(ids: np.ndarray, vectors: np.ndarray) -> dict[str, np.ndarray]:
         some = vectors[rows]
         lo.append(some.min(0))
         hi.append(some.max(0))
-        spread = hi[-1].astype(np.int64) - lo[-1]
+        spread = hi[-1].astype(np.float64) - lo[-1]
         if len(rows) > LEAF_ROWS and spread.size and spread.max() > 0:
             half = len(rows) // 2
             split = np.argpartition(some[:, spread.argmax()], half)
@@ -103,12 +109,12 @@ def build_tree(ids: np.ndarray, vectors: np.ndarray) -> dict[str, np.ndarray]:
 
 def search(tree: dict[str, np.ndarray], query_id: int, query: np.ndarray, k: int, kth: float) -> tuple[np.ndarray, np.ndarray]:
     """The k best (ids, scores) whose score is at least ``kth``."""
-    own_ids, scores = np.zeros(0, np.int64), np.zeros(0, query.dtype)
+    own_ids, scores = np.zeros(0, np.int64), np.zeros(0, np.int64 if query.dtype == object else query.dtype)
     floor = kth
 
     def bound(nodes: slice) -> np.ndarray:
         lo, hi = tree["lo"][nodes].astype(query.dtype), tree["hi"][nodes].astype(query.dtype)
-        return np.maximum(lo * query, hi * query).sum(1)
+        return _longs(np.maximum(lo * query, hi * query).sum(1))
 
     heap = [(-bound(slice(0, 1))[0], 0)]
     while heap:
@@ -122,7 +128,7 @@ def search(tree: dict[str, np.ndarray], query_id: int, query: np.ndarray, k: int
                     heapq.heappush(heap, (-b, int(child) + i))
             continue
         rows = slice(tree["begin"][node], tree["end"][node])
-        new = tree["vectors"][rows].astype(query.dtype, copy=False) @ query
+        new = _longs(tree["vectors"][rows].astype(query.dtype, copy=False) @ query)
         ids = tree["ids"][rows]
         good = (new >= floor) & (ids != query_id)
         if good.any():
@@ -135,48 +141,61 @@ def search(tree: dict[str, np.ndarray], query_id: int, query: np.ndarray, k: int
 
 
 def build_index(vectors: DataFrame, shards: int) -> DataFrame:
-    """One row per shard and dimension of ``(id, v)``."""
+    """One row per shard and dimension of ``(id, v, copies)``."""
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         shard = int(pdf["shard"].iloc[0])
         rows = []
-        for dim, ids, v in _rows(pdf):
-            tree = build_tree(ids, v)
+        for dim, ids, v, copies in _rows(pdf):
+            tree = build_tree(np.repeat(ids, copies), np.repeat(v, copies, axis=0))
             rows.append({"shard": shard, "dim": dim} | {name: np.ascontiguousarray(a).tobytes() for name, a in tree.items()})
         return pd.DataFrame(rows, columns=[c.split()[0] for c in INDEX_SCHEMA.split(", ")])
 
-    dealt = vectors.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)))
+    dealt = vectors.withColumn("shard", F.pmod(F.xxhash64("id", "v"), F.lit(shards)))
     return dealt.groupBy("shard").applyInPandas(build, INDEX_SCHEMA)
 
 
 def query_blocks(queries: DataFrame, blocks: int) -> DataFrame:
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         block = int(pdf["block"].iloc[0])
-        rows = [{"block": block, "dim": d, "ids": i.tobytes(), "vectors": v.tobytes()} for d, i, v in _rows(pdf)]
-        return pd.DataFrame(rows, columns=["block", "dim", "ids", "vectors"])
+        rows = [{"block": block, "dim": d, "ids": i.tobytes(), "vectors": v.tobytes(), "copies": c.tobytes()} for d, i, v, c in _rows(pdf)]
+        return pd.DataFrame(rows, columns=["block", "dim", "ids", "vectors", "copies"])
 
-    dealt = queries.withColumn("block", F.pmod(F.xxhash64("id", F.lit("block")), F.lit(blocks)))
+    dealt = queries.withColumn("block", F.pmod(F.xxhash64("id", "v", F.lit("block")), F.lit(blocks)))
     return dealt.groupBy("block").applyInPandas(pack, BLOCK_SCHEMA)
 
 
+def _whole(packed: bytes, rows: int, dim: int) -> np.ndarray:
+    """Packed vectors, of 32 or 64 bits a component."""
+    return np.frombuffer(packed, np.int32 if len(packed) == 4 * rows * dim else np.int64).reshape(rows, dim)
+
+
 def _tree(row: dict) -> dict[str, np.ndarray]:
-    dim = row["dim"]
     ints = {k: np.frombuffer(row[k], np.int64) for k in ("ids", "begin", "end", "left")}
-    whole = {k: np.frombuffer(row[k], np.int32).reshape(-1, dim) for k in ("vectors", "lo", "hi")}
-    return ints | {k: a.astype(np.float64 if _small(a) else np.int64) for k, a in whole.items()}
+    sizes = {"vectors": len(ints["ids"]), "lo": len(ints["begin"]), "hi": len(ints["begin"])}
+    whole = {k: _whole(row[k], n, row["dim"]) for k, n in sizes.items()}
+    return ints | {k: a.astype(np.float64 if _small(whole["vectors"]) else np.int64) for k, a in whole.items()}
+
+
+def _top(vectors: np.ndarray) -> float:
+    return float(np.abs(vectors.astype(np.float64)).max()) if vectors.size else 0.0
 
 
 def _small(vectors: np.ndarray) -> bool:
     """Whether doubles are exact: sums of products stay below 2^53."""
-    return not vectors.size or int(np.abs(vectors.astype(np.int64)).max()) < 1 << 26 - (vectors.shape[1].bit_length() + 1) // 2
+    return _top(vectors) < 1 << 26 - (vectors.shape[1].bit_length() + 1) // 2
 
 
 def _as(tree: dict, queries: np.ndarray) -> np.ndarray:
-    return queries.astype(np.float64 if tree["vectors"].dtype == np.float64 and _small(queries) else np.int64)
+    """The queries in numbers whose sums with the tree's vectors are exact."""
+    if tree["vectors"].dtype == np.float64 and _small(queries):
+        return queries.astype(np.float64)
+    fits = _top(tree["vectors"]) * _top(queries) * queries.shape[1] < 2.0**62
+    return queries.astype(np.int64).astype(np.int64 if fits else object)
 
 
 def _visit(pairs: DataFrame, k: int) -> DataFrame:
-    """Rows of a block and a shard -> (query_id, vec_id, score)."""
+    """Rows of a block and a shard -> (block, query_id, vec_id, score)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
@@ -186,38 +205,40 @@ def _visit(pairs: DataFrame, k: int) -> DataFrame:
                     last = (row["shard"], row["dim"], _tree(row))
                 tree = last[2]
                 ids = np.frombuffer(row["q_ids"], np.int64)
-                queries = np.frombuffer(row["q_vectors"], np.int32).reshape(len(ids), row["dim"])
+                queries = _whole(row["q_vectors"], len(ids), row["dim"])
+                copies = np.frombuffer(row["q_copies"], np.int64).tolist()
                 known = dict(zip(row["kth_ids"] or (), row["kth_scores"] or ()))
                 found = []
-                for i, q in zip(ids.tolist(), _as(tree, queries)):
-                    got, scores = search(tree, i, q, k, known.get(i, -np.inf))
-                    found.append((np.full(len(got), i), got, scores.astype(np.int64)))
+                for i, c, q in zip(ids.tolist(), copies, _as(tree, queries)):
+                    got, scores = (np.repeat(x, c)[:k] for x in search(tree, i, q, k, known.get(i, -np.inf)))
+                    found.append((np.full(len(got), row["block"]), np.full(len(got), i), got, scores.astype(np.int64)))
                 if found:
-                    yield pa.record_batch([pa.array(np.concatenate(c), pa.int64()) for c in zip(*found)], ["query_id", "vec_id", "score"])
+                    yield pa.record_batch([pa.array(np.concatenate(c), pa.int64()) for c in zip(*found)], ["block", "query_id", "vec_id", "score"])
 
-    return pairs.mapInArrow(run, "query_id long, vec_id long, score long")
+    return pairs.mapInArrow(run, "block long, query_id long, vec_id long, score long")
 
 
 def top_k(
     df: DataFrame, k: int = K, query_filter: Column | None = None, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = SCALE
 ) -> DataFrame:
-    """``(query_id, rank, vec_id, score)``: for every row of ``df`` that
-    ``query_filter`` (on column ``id``) selects, its k best other rows."""
+    """``(query_id, rank, vec_id, score)``: for every id of ``df`` that
+    ``query_filter`` (on column ``id``) selects, its k best rows of other ids."""
     usable = df.select(F.col(id_col).cast("long").alias("id"), quantised(F.col(vector_col), scale).alias("v"))
-    vectors = stage(usable.filter("id IS NOT NULL AND v IS NOT NULL"), "kd-vectors")
+    rows = usable.filter("id IS NOT NULL AND v IS NOT NULL").groupBy("id", "v").agg(F.least(F.count(F.lit(1)), F.lit(k)).alias("copies"))
+    vectors = stage(rows, "kd-vectors")
     queries = vectors if query_filter is None else vectors.filter(query_filter)
     n, m = vectors.count(), queries.count()
     shards, blocks = max(1, ceil(n / SHARD_ROWS)), max(1, ceil(m / BLOCK_QUERIES))
     index = stage(build_index(vectors, shards), "kd-index")
     block = stage(query_blocks(queries, blocks), "kd-queries").select(
-        "block", "dim", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"), F.pmod("block", F.lit(shards)).alias("home")
+        "block", "dim", *[F.col(c).alias(f"q_{c}") for c in ("ids", "vectors", "copies")], F.pmod("block", F.lit(shards)).alias("home")
     )
     none = F.lit(None).cast("array<long>")
     first = block.withColumn("shard", F.col("home")).withColumns({"kth_ids": none, "kth_scores": none})
     near = stage(_visit(first.join(index, ["shard", "dim"]), k), "kd-first")
-    kth = near.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("kth")).filter(F.col("n") == k)
-    kth = kth.withColumn("block", F.pmod(F.xxhash64("query_id", F.lit("block")), F.lit(blocks))).groupBy("block")
-    kth = kth.agg(F.collect_list("query_id").alias("kth_ids"), F.collect_list("kth").alias("kth_scores"))
+    own = Window.partitionBy("block", "query_id").orderBy(F.desc("score"), "vec_id")
+    kth = near.withColumn("rank", F.row_number().over(own)).filter(F.col("rank") == k).groupBy("block")
+    kth = kth.agg(F.collect_list("query_id").alias("kth_ids"), F.collect_list("score").alias("kth_scores"))
     others = block.join(kth, "block", "left").withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
     far = _visit(others.filter("shard != home").join(index, ["shard", "dim"]), k)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
