@@ -69,6 +69,21 @@ def test_contexts_of_seeds_find_unseen_identifiers(spark):
     assert op.find_pii(df.filter("false")).count() == 0
 
 
+def test_known_instances_are_added_where_their_own_context_is_strong(spark):
+    rows = [(i, f"please write to user{i}@example.com now or later") for i in range(12)]
+    rows += [(50, "call +1 (988) 555-2485 ok"), (51, "please write to 555-2485 soon, to 555-2485 now"), (52, "section 555-2485 ends")]
+    got = {r.doc_id: [tuple(s) for s in r.other] for r in op.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got.pop(51) == [(16, 24), (34, 42)] and not any(got.values())
+
+
+def test_a_text_with_very_many_matches(spark):
+    n = 100_000
+    text = " ".join(f"1.2.3.{i % 300} é" for i in range(n))
+    r = op.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).selectExpr("size(words) AS n", "ip[size(ip) - 1] AS last", "size(ip) AS ips").first()
+    want = [(a, b) for kind, a, b in brute(text) if kind == "ip"]
+    assert (r.n, r.ips, tuple(r["last"])) == (n, len(want), want[-1])
+
+
 def test_scores_equal_brute_force(spark):
     rng = random.Random(5)
     rows = [(i, 0, 1, f"w{rng.randrange(30)}", rng.choice("abc"), rng.choice("xyz1"), None) for i in range(150)]

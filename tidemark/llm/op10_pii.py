@@ -69,14 +69,16 @@ def _valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _matches(text: Column, expression: str, keep, build, kind: str) -> Column:
     """Matches in order, with code point offsets: between the pieces that a
     split by the expression leaves."""
-    found = F.regexp_extract_all(text, F.lit(expression), F.lit(0))
-    pieces = F.split(text, expression, -1)
-    after = F.slice(pieces, 2, F.greatest(F.size(found), F.lit(0)))
-    rows = F.arrays_zip(F.slice(pieces, 1, F.size(found)).alias("before"), found.alias("match"), after.alias("after"))
     one = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
+    many = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
 
     def step(state: Column, row: Column) -> Column:
         begin = state["at"] + F.length(row["before"])
@@ -84,15 +86,22 @@ def _matches(text: Column, expression: str, keep, build, kind: str) -> Column:
         new = F.array(build(begin, end, row)).cast(kind)
         return F.struct(end.alias("at"), F.when(keep(row["match"]), F.concat(state["out"], new)).otherwise(state["out"]).alias("out"))
 
-    # every block's matches are appended to a short array, every block's array to one of blocks
-    many = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
+    def zipped(x: Column) -> Column:
+        size = F.size(x["found"])
+        after = F.slice(x["pieces"], F.lit(2), size)
+        return F.arrays_zip(F.slice(x["pieces"], F.lit(1), size).alias("before"), x["found"].alias("match"), after.alias("after"))
+
+    def blocks(rows: Column) -> Column:
+        # a match is appended to its block's array, a block's array to the one of blocks
+        def block(state: Column, number: Column) -> Column:
+            begin = F.struct(state["at"].alias("at"), one["out"].alias("out"))
+            some = F.aggregate(F.slice(rows, number * BLOCK + 1, F.lit(BLOCK)), begin, step)
+            return _bound(some, lambda x: F.struct(x["at"].alias("at"), F.concat(state["out"], F.array(x["out"])).alias("out")))
 
-    def block(state: Column, number: Column) -> Column:
-        some = F.aggregate(F.slice(rows, number * BLOCK + 1, F.lit(BLOCK)), F.struct(state["at"].alias("at"), one["out"].alias("out")), step)
-        return F.transform(F.array(some), lambda x: F.struct(x["at"].alias("at"), F.concat(state["out"], F.array(x["out"])).alias("out")))[0]
+        return F.aggregate(F.sequence(F.lit(0), F.floor(F.size(rows) / BLOCK).cast("int")), many, block, lambda s: F.flatten(s["out"]))
 
-    blocks = F.sequence(F.lit(0), F.floor(F.size(found) / BLOCK).cast("int"))
-    return F.aggregate(blocks, many, block, lambda s: F.flatten(s["out"]))
+    parts = F.struct(F.regexp_extract_all(text, F.lit(expression), F.lit(0)).alias("found"), F.split(text, expression, -1).alias("pieces"))
+    return _bound(parts, lambda x: _bound(zipped(x), blocks))
 
 
 def base_spans(text: Column, kind: str) -> Column:
