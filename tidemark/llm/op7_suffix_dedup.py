@@ -51,10 +51,10 @@ NAME = "op7_suffix_dedup"
 ORACLE_SQL = None
 LENGTH = 400
 GRAM = 200
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 PART_ANCHORS = 1 << 18
 PART_DOCUMENTS = 1 << 14
-SORT_DOCUMENTS = 1 << 12
+SORT_DOCUMENTS = 1 << 11
 FLUSH_BYTES = 4 << 20
 END = 256  # a place behind a text's end; equals nothing
 
@@ -207,7 +207,7 @@ def _documents(bits: int):
                 rows.append(zstandard.compress(blob, 1))
             return pa.record_batch([pa.array(numbers, pa.int64()), pa.array(rows, pa.binary())], ["part", "packed"])
 
-        for batch in textops.slices(batches, "text", SLICE_BYTES // 4):
+        for batch in textops.slices(batches, "text", SLICE_BYTES):
             for row in batch.to_pylist():
                 text = zstandard.decompress(row["text"])
                 for anchor, at in zip(row["anchors"], row["ats"]):
