@@ -56,3 +56,34 @@ def test_more_languages_than_a_byte_counts():
     scores[:4, 290] = 3
     scores[4:, 34] = 9
     assert op.viterbi(scores, np.array([6]), 1.0).tolist() == [290] * 4 + [34] * 2
+
+
+def _above_chance(model, word, lang):
+    """A word's log-probability against evenly drawn n-grams, gram by gram."""
+    padded, total = b" " + word + b" ", 0.0
+    for order in (2, 3, 4):
+        for i in range(len(padded) - order + 1):
+            value = np.array([int.from_bytes(padded[i : i + order], "big")], np.uint32)
+            total += model.table[op._hash(value, order)[0], model.languages.index(lang)] + np.log(op.BUCKETS)
+    return total
+
+
+def test_rows_stay_by_evidence_as_in_brute_force(spark):
+    en, ru, de = "the house and the garden with a tree ", "дом и сад с деревом ", "das haus und der garten mit einem baum "
+    rows = [(i, t * 5, lang) for i in range(30) for t, lang in ((en, "en"), (ru, "ru"), (de, "de"))]
+    model = op.train(spark.createDataFrame(rows, "id long, text string, lang string"))
+    texts = [en * 4 + de * 3 + ru * 4, en, "zzqq xkcd wvvw " * 20, "qqzz the house", "12 34", "", None, "δένδρο και σπίτι", "baum", de * 3_000]
+    texts = texts * 2 + [" ".join(np.random.default_rng(i).permutation((en + de + ru + "xq zz vv").split())[:9]) for i in range(20)]
+    want = []
+    for text in texts:
+        _, _, spans, _ = op.label(model, [op.textops.buffers(op.pa.array([text]))])
+        words = (text or "").encode().split()
+        sums = {}
+        for s in spans[0]:
+            sums[s["lang"]] = sums.get(s["lang"], 0.0) + sum(_above_chance(model, w, s["lang"]) for w in words[s["first_word"] : s["end_word"]])
+        if any(v > 0 for v in sums.values()):
+            want.append(text)
+    df = spark.createDataFrame([(None, t, "x") for t in texts], "id long, text string, lang string")
+    got = [r.text for r in op.keep_known(df, model).collect()]
+    assert sorted(got) == sorted(want)
+    assert texts[0] in got and en in got and texts[2] not in got and "12 34" not in got and None not in got

@@ -38,8 +38,8 @@ TRAIN_ROWS = 3000
 BUCKETS = 1 << 16
 SWITCH_PENALTY = 12.0
 SCRIPT_SHARE = 0.01
-SLICE_BYTES = 1 << 20
-BATCH_BYTES = 12 << 20
+SLICE_BYTES = 1 << 18
+BATCH_BYTES, KEEP_BYTES = 12 << 20, 4 << 20
 #: First code points of ranges and the script each one begins (fixed values).
 SCRIPTS = [
     (0x0000, "Latin"), (0x0370, "Greek"), (0x0400, "Cyrillic"), (0x0530, "Armenian"), (0x0590, "Hebrew"), (0x0600, "Arabic"),
@@ -229,8 +229,10 @@ OUT = "doc_id long, lang_pred string, score double, spans array<struct<lang:stri
 SPANS = pa.list_(pa.struct([("lang", pa.string()), ("first_word", pa.int32()), ("end_word", pa.int32())]))
 
 
-def label(model: Model, batch: list[tuple[np.ndarray, np.ndarray]]) -> tuple[list[str], list[float], list[list[dict]]]:
-    """Languages, scores and spans of the texts of some slices."""
+def label(model: Model, batch: list[tuple[np.ndarray, np.ndarray]]) -> tuple[list[str], list[float], list[list[dict]], np.ndarray]:
+    """Languages, scores and spans of the texts of some slices, and whether a
+    text's words of some label are likelier in that language than n-grams
+    drawn evenly from all buckets."""
     scores, sizes, weights, letters = [], [], [], []
     for data, offsets in batch:
         words = read_words(data, offsets)
@@ -242,8 +244,13 @@ def label(model: Model, batch: list[tuple[np.ndarray, np.ndarray]]) -> tuple[lis
         letters.append(seen[offsets[1:]] > seen[offsets[:-1]])
     sizes, weights, letters = np.concatenate(sizes), np.concatenate(weights), np.concatenate(letters)
     k = len(model.languages)
-    labels = viterbi(np.concatenate(scores), sizes)
+    scores = np.concatenate(scores)
+    labels = viterbi(scores, sizes)
     text = np.repeat(np.arange(len(sizes)), sizes)
+    evident = np.zeros(len(sizes), bool)
+    if k:
+        above = scores[np.arange(len(labels)), labels] + 3 * weights * np.log(BUCKETS)  # a word of n bytes has 3 n n-grams
+        evident = letters & (np.bincount(text * k + labels, above, minlength=len(sizes) * k).reshape(-1, k) > 0).any(1)
     share = np.bincount(text * max(k, 1) + labels, weights, minlength=len(sizes) * max(k, 1)).reshape(len(sizes), -1)
     best = share.argmax(1)
     score = share[np.arange(len(sizes)), best] / np.maximum(share.sum(1), 1)
@@ -259,7 +266,7 @@ def label(model: Model, batch: list[tuple[np.ndarray, np.ndarray]]) -> tuple[lis
             if letters[i]:
                 spans[i].append({"lang": model.languages[labels[a]], "first_word": a - int(first[i]), "end_word": b - int(first[i])})
     known = letters & (k > 0)
-    return [model.languages[b] if ok else "und" for b, ok in zip(best, known)], np.where(known, score, 0.0).tolist(), spans
+    return [model.languages[b] if ok else "und" for b, ok in zip(best, known)], np.where(known, score, 0.0).tolist(), spans, evident
 
 
 def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -270,7 +277,7 @@ def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         ids, held, size = [], [], 0
 
         def flush():
-            langs, scores, spans = label(sent.value, held)
+            langs, scores, spans, _ = label(sent.value, held)
             return pa.record_batch(
                 [pa.array(ids, pa.int64()), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(spans, SPANS)],
                 ["doc_id", "lang_pred", "score", "spans"],
@@ -290,16 +297,16 @@ def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return rows.mapInArrow(run, OUT)
 
 
-def keep_known(df: DataFrame, model: Model, least_score: float, text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` with a known language that labels at least
-    ``least_score`` of the letters; all columns as they are."""
+def keep_known(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` with evidence of a learned language, however many
+    they mix; all columns as they are. Rows go that have no letter, or whose
+    words fit every label given to them worse than evenly drawn n-grams."""
     sent = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in textops.slices(batches, text_col, 4 * SLICE_BYTES):
+        for batch in textops.slices(batches, text_col, KEEP_BYTES):
             parts = [textops.buffers(b.column(text_col)) for b in textops.slices(iter([batch]), text_col, SLICE_BYTES)]
-            langs, scores, _ = label(sent.value, parts)
-            yield batch.filter(pa.array([x != "und" and y >= least_score for x, y in zip(langs, scores)], pa.bool_()))
+            yield batch.filter(pa.array(label(sent.value, parts)[3], pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
 
