@@ -20,8 +20,6 @@ from pyspark.sql import functions as F
 from tidemark.llm import op1_source_mix, op2_ngram_join, op3_byte_bpe, op5_language_spans, op6_exact_dedup
 from tidemark.llm.staging import keep_rows, maybe_among, read, stage
 
-#: A document stays if one learned language labels this share of its letters.
-LEAST_LANGUAGE_SHARE = 0.5
 #: Small sources are repeated at most so many times as often as large ones.
 MAX_REPETITION = 2.0
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -32,8 +30,8 @@ ORACLE_SQL = None
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a known main language."""
-    return op5_language_spans.keep_known(docs, op5_language_spans.fit(docs), LEAST_LANGUAGE_SHARE)
+    """Drops documents without evidence of a learned language."""
+    return op5_language_spans.keep_known(docs, op5_language_spans.fit(docs))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
