@@ -228,22 +228,31 @@ def _documents(bits: int):
     return run
 
 
-def _intervals(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Repeated stretches [start, end) of each text, from one part."""
-    group, bodies, counts, places = [], [], [], []
-    for packed in pdf["packed"]:
+def _collection(parts) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
+    """(anchor, body, count) of the distinct documents of packed collections,
+    and the places of each document's copies one after another."""
+    known: dict[tuple[int, bytes], int] = {}
+    owners, places = [], []
+    for packed in parts:
         blob = zstandard.decompress(packed)
         n = int(np.frombuffer(blob, "<i8", 1)[0])
         head = np.frombuffer(blob, "<i8", 2 * n, 8).reshape(n, 2)
-        lengths = np.frombuffer(blob, "<i4", n, 8 + 16 * n)
         at = 8 + 20 * n
-        for size in lengths.tolist():
-            bodies.append(blob[at : at + size])
+        numbers = []
+        for anchor, size in zip(head[:, 0].tolist(), np.frombuffer(blob, "<i4", n, 8 + 16 * n).tolist()):
+            numbers.append(known.setdefault((anchor, blob[at : at + size]), len(known)))
             at += size
-        group.append(head[:, 0])
-        counts.append(head[:, 1])
-        places.append(np.frombuffer(blob, "<i8", int(2 * head[:, 1].sum()), at).reshape(-1, 2))
-    group, counts, places = np.concatenate(group), np.concatenate(counts), np.concatenate(places)
+        owners.append(np.repeat(np.array(numbers, np.int64), head[:, 1]))
+        places.append(np.frombuffer(blob, "<i8", int(2 * head[:, 1].sum()), at).reshape(-1, 2).copy())  # not the whole blob
+    owner = np.concatenate(owners)
+    by = np.argsort(owner, kind="stable")
+    group = np.fromiter((anchor for anchor, _ in known), np.int64, len(known))
+    return group, [body for _, body in known], np.bincount(owner, minlength=len(known)), np.concatenate(places)[by]
+
+
+def _intervals(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Repeated stretches [start, end) of each text, from one part."""
+    group, bodies, counts, places = _collection(pdf["packed"])
     out = []
     before = np.cumsum(counts) - counts
     by = np.argsort(group, kind="stable")
@@ -253,15 +262,14 @@ def _intervals(pdf: pd.DataFrame) -> pd.DataFrame:
         to = max(at + 1, int(np.searchsorted(cuts, cuts[at] + SORT_DOCUMENTS, "right")) - 1)
         some = by[cuts[at] : cuts[to]]
         at = to
-        symbols = np.full((len(some), DOCUMENT_BYTES), END, np.int16)
-        for i, j in enumerate(some):
-            gap = int.from_bytes(bodies[j][:4], "little")
-            symbols[i, gap : gap + len(bodies[j]) - 4] = np.frombuffer(bodies[j], np.uint8, offset=4)
-        own = group[some]
-        found = repeated_starts(own, np.ascontiguousarray(symbols.T))
-        for i in np.flatnonzero(counts[some] > 1):  # equal documents of one task: all their windows
-            size = int((symbols[i] != END).sum())
-            gap = int.from_bytes(bodies[some[i]][:4], "little")
+        symbols = np.full((DOCUMENT_BYTES, len(some)), END, np.int16)
+        gaps = [int.from_bytes(bodies[j][:4], "little") for j in some]
+        for i, (j, gap) in enumerate(zip(some, gaps)):
+            symbols[gap : gap + len(bodies[j]) - 4, i] = np.frombuffer(bodies[j], np.uint8, offset=4)
+        found = repeated_starts(group[some], symbols)
+        del symbols
+        for i in np.flatnonzero(counts[some] > 1):  # equal documents: all their windows
+            gap, size = gaps[i], len(bodies[some[i]]) - 4
             found[gap : max(gap, min(len(found), gap + size - LENGTH + 1)), i] = True
         edge = np.diff(found.T.astype(np.int8), axis=1, prepend=0, append=0)
         i, first = np.nonzero(edge == 1)
