@@ -71,7 +71,8 @@ def validate_foreign_key(child: DataFrame, parent: DataFrame, keys: Sequence[str
     return child.join(parent.select(*keys), list(keys), "left_anti")
 
 
-def _date_rules(order_date) -> list[Rule]:
+def date_rules(order_date) -> list[Rule]:
+    """Tags of a line whose order has that date."""
     return [
         tag_when(order_date.isNull(), "missing_order_date"),
         tag_when(F.col("ship_date").isNull(), "missing_ship_date"),
@@ -95,7 +96,7 @@ def validate_date_sequence(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     ``_quality_errors``."""
     dates = _order_dates(orders)
     joined = lineitem.join(dates, lineitem["order_key"] == dates["__order_key"], "left")
-    return invalid_rows(joined, _date_rules(F.col("__order_date"))).select(*lineitem.columns, "_quality_errors")
+    return invalid_rows(joined, date_rules(F.col("__order_date"))).select(*lineitem.columns, "_quality_errors")
 
 
 def validate_allowed_values(df: DataFrame, allowed: Mapping[str, Sequence[str]]) -> DataFrame:

@@ -26,13 +26,8 @@ from tidemark.plans.oracle import (
     quality_report_sql,
     with_silver,
 )
-from tidemark.plans.silver import (
-    TransformationResult,
-    fused_report,
-    quarantine_frames,
-    rule_frames,
-    run_silver_transformations,
-)
+from tidemark.plans.quarantine import broken_rows
+from tidemark.plans.silver import TransformationResult, fused_report, run_silver_transformations
 from tidemark.plans.tagged import tagged_report
 from tidemark.sources.adapter import bronze_sources
 from tidemark.sources.rules import load_logistics_rules
@@ -474,8 +469,8 @@ def q_lineitem_report(spark, d):
 
 
 def q_quarantine_lineitem(spark, d):
-    frames = rule_frames(driver_silver(spark, d), DRIVER_CONTRACT, RULES)
-    q = quarantine_frames(frames)["lineitem"]
+    names = ["required_values", "primary_key", "date_sequence", "categories", *(fk.rule_name for fk in DRIVER_CONTRACT.foreign_keys_of("lineitem"))]
+    q = broken_rows(driver_silver(spark, d).tables, DRIVER_CONTRACT, "lineitem", names, RULES)
     return _joined_errors(q).withColumnRenamed("_validation_rule", "validation_rule")
 
 
