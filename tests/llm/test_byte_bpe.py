@@ -1,8 +1,10 @@
 import hashlib
 import random
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -53,3 +55,32 @@ def test_long_word_merge_equals_library(library):
     for n in (1, 2, 49, 500):
         word = "".join(rng.choices("abehtion", k=n))
         assert op.merge_long(word.encode(), op.ranks(PATH)) == library.encode_ordinary(word)
+
+
+def test_common_words_are_folded_once_for_all_parts(spark, library):
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abehtionñ", k=rng.randrange(2, 14))) for _ in range(300)]
+    rows = [(i, " ".join(rng.choices(words, k=80))) for i in range(400)] + [(400, None), (401, " neuwort" + "y" * 60), (402, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    known, (flat, sizes) = op.common_words(df, PATH, sample_rows=150)
+    assert len(known) >= 250 and len(sizes) == len(known) and sizes.sum() == len(flat)
+    met = op._words_to_ids(df, PATH, "doc_id", "text", spark.sparkContext.broadcast(known)).filter("ids IS NOT NULL")
+    assert sum(len(r.ids) for r in met.collect()) < 4 * 100  # without common words: over 4 * 300
+    got = op.encode(df, PATH, sample_rows=150).collect()
+    assert {r.doc_id: r.ids for r in got} == {i: library.encode_ordinary(t or "") for i, t in rows}
+
+
+def test_a_task_folds_a_word_once_over_its_batches(monkeypatch):
+    none = SimpleNamespace(value=pa.array([], pa.binary()))
+    parts = [pa.RecordBatch.from_pylist([{"doc_id": i, "text": f"wort abc{i % 10} Tag"}]) for i in range(120)]
+    monkeypatch.setattr(op, "BATCH_BYTES", 1)
+
+    def rows():
+        made = [b.to_pylist()[0] for b in op._split(PATH, none)(iter(parts))]
+        return [r for r in made if r["words"] is not None]
+
+    once = rows()
+    assert sum(len(r["words"]) for r in once) == 3 + 10  # a batch alone would give four a document
+    assert [r["doc_id"] for r in once] == [1] + [0] * 119
+    monkeypatch.setattr(op, "TASK_WORDS", 5)
+    assert sum(r["doc_id"] for r in rows()) > 1
