@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -86,3 +87,14 @@ def test_added_tokens_in_texts_equal_unmodified_library(spark):
     got = {r.doc_id: np.frombuffer(r.ids, op.id_type(PATH)).tolist() for r in op.encode_ids(rows, PATH).collect()}
     assert got == {i: tok.encode(t, add_special_tokens=False).ids + [1] for i, t in enumerate(texts)}
     assert 49407 in got[0] and 49406 in got[1]
+
+
+def test_ids_of_many_documents_are_counted_together(monkeypatch):
+    calls, bincount = [], np.bincount
+    monkeypatch.setattr(op.np, "bincount", lambda *a, **b: calls.append(1) or bincount(*a, **b))
+    rows = [np.array([i % 5, 40_000 if i == 7 else 1], "<u2").tobytes() for i in range(1000)] + [b""]
+    total = op.added_counts(np.array([3, 0]), pa.array(rows, pa.binary()), "<u2")
+    assert total[:5].tolist() == [203, 1199, 200, 200, 200] and total[40_000] == 1 and total.sum() == 2003
+    assert len(calls) == 1  # not a vocabulary's array for each document
+    monkeypatch.setattr(op, "COUNT_BYTES", 8)
+    assert np.array_equal(op.added_counts(np.array([3, 0]), pa.array(rows, pa.binary()), "<u2"), total)
