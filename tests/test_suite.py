@@ -250,3 +250,31 @@ def test_keys_of_text_and_nulls_meet_as_the_rules_say(spark):
     report = {k: n for k, (n, _) in _report(tagged_report(rows, contract, registry.RULES)).items()}
     assert report == {k: n for k, (n, _) in _report(per_rule_report(rule_frames(tr, contract))).items()}
     assert report[("p", "primary_key")] == 4 and report[("c", "fk_p_a_b")] == 4 and report[("d", "fk_p_a_b")] == 0
+
+
+def test_no_scan_task_holds_the_keys_of_a_whole_file(spark):
+    """The lines' keys are dealt to the tasks below every histogram, those of
+    the derived partsupp too; a file with one row group is one scan task."""
+    plan = registry.q_lineitem_report(spark, SMOKE_DIR)._jdf.queryExecution().optimizedPlan()
+    nodes, by_key = [plan], []
+    while nodes:
+        node = nodes.pop()
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+        if node.nodeName() == "Aggregate" and not node.groupingExpressions().isEmpty() and "l_orderkey" in node.toString():
+            by_key.append(node.toString())
+    assert len(by_key) >= 4
+    assert all("RepartitionByExpression" in part for part in by_key)
+
+
+def test_a_third_of_all_lines_share_one_key(spark):
+    """Dealt rows of a hot key are counted as the plain rules count them."""
+    bronze = _minimal_bronze(spark)
+    first = bronze["lineitem"].first().asDict()
+    changes = [dict(l_orderkey=1 if i % 3 else 100 + i, l_linenumber=None if i % 5 == 0 else i % 4, l_partkey=i % 7 or None) for i in range(60)]
+    bronze["lineitem"] = spark.createDataFrame([tuple((first | c)[n] for n in bronze["lineitem"].columns) for c in changes], bronze["lineitem"].schema)
+    tr = run_silver_transformations(bronze, TPCH_CONTRACT)
+    plain = _report(per_rule_report(rule_frames(tr, TPCH_CONTRACT, registry.RULES)))
+    assert plain[("lineitem", "primary_key")][0] > 30
+    for how in ("anti", "outer"):
+        fused = _report(fused_report(tr, TPCH_CONTRACT, registry.RULES, only=["lineitem"], fk_join=how))
+        assert fused == {rule: n for rule, n in plain.items() if rule[0] == "lineitem"}
