@@ -91,3 +91,16 @@ def test_lines_are_scanned_twice_and_no_job_runs(spark):
     leaves = plan.collectLeaves()
     scans = [leaves.apply(i).toString() for i in range(leaves.size())]
     assert sum("l_orderkey" in s for s in scans) == 2
+
+
+def test_no_join_moves_the_dates_of_another(spark):
+    """The histograms of dates meet the rows in the last join."""
+    tr = registry.driver_silver(spark, SMOKE_DIR)
+    rules = [f[1] for f in rule_frames(tr, DRIVER_CONTRACT, registry.RULES) if f[0] == "lineitem" and f[1] != "lossless_casts"]
+    nodes = [broken_rows(tr.tables, DRIVER_CONTRACT, "lineitem", rules, registry.RULES)._jdf.queryExecution().optimizedPlan()]
+    dated = 0
+    while nodes:
+        node = nodes.pop()
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+        dated += node.nodeName() == "Join" and any("__days" in node.children().apply(i).output().toString() for i in range(2))
+    assert dated == 1
