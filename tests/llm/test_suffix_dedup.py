@@ -93,3 +93,13 @@ def test_equal_windows_pick_alike_in_batches_of_any_size():
     padding = rng.integers(97, 101, 300_000).astype(np.uint8)
     both, _ = op.anchors(np.concatenate([text, padding]), np.array([0, len(text), len(text) + len(padding)]))
     assert alone.tolist() == [p for p in both.tolist() if p < len(text)]
+
+
+def test_anchors_are_dealt_evenly_to_the_parts():
+    """Anchors are smallest hashes; their parts do not follow those."""
+    data = np.frombuffer(random.Random(8).randbytes(200_000), np.uint8)
+    _, h = op.anchors(data, np.array([0, len(data)]))
+    sizes = np.bincount(op.part_of(h, 3), minlength=8)
+    assert len(sizes) == 8 and sizes.sum() == len(h)
+    assert sizes.max() < 1.5 * len(h) / 8
+    assert (op.part_of(h, 0) == 0).all()
