@@ -119,3 +119,20 @@ def test_links_are_all_pairs_of_classes(spark, monkeypatch):
         of = {r["class"]: sets[r.doc_id] for r in members}
         got = [(frozenset((of[r.a], of[r.b])), r.overlap) for r in links.collect()]
         assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_parts_do_not_follow_the_order_of_hashes():
+    """Of equally rare shingles prefixes hold the smallest hashes; the parts
+    of the postings are of like size all the same."""
+    rng = random.Random(3)
+    texts = [" ".join(str(rng.randrange(10**9)) for _ in range(200)) for _ in range(100)]
+
+    class Counts:
+        value = op.np.zeros(op.CELLS, op.np.int64)
+
+    batch = op.pa.record_batch([op.pa.array(texts)], ["text"])
+    sizes = [0] * 8
+    for found in op._postings(Counts, 3)(iter([batch])):
+        for part, packed in zip(found.column("part").to_pylist(), found.column("packed").to_pylist()):
+            sizes[part] += len(packed)
+    assert max(sizes) < 1.3 * sum(sizes) / 8
