@@ -98,3 +98,20 @@ def test_ids_of_many_documents_are_counted_together(monkeypatch):
     assert len(calls) == 1  # not a vocabulary's array for each document
     monkeypatch.setattr(op, "COUNT_BYTES", 8)
     assert np.array_equal(op.added_counts(np.array([3, 0]), pa.array(rows, pa.binary()), "<u2"), total)
+
+
+def test_words_are_encoded_once_for_all_tasks_of_a_worker(monkeypatch):
+    """Words stay known from task to task, in bounded bytes."""
+    path = op.public_tokenizers.path("word_bpe_49k.json")
+    encoder = op._encoder(path)
+    assert op._encoder(path) is encoder
+    encoder.clear()
+    texts = [["some words here"], ["here words, and " + "x" * 300], ["some more words"], ["words"]]
+    for limit in (op.CACHED_BYTES, 64):
+        monkeypatch.setattr(op, "CACHED_BYTES", limit)
+        for some in texts * 2:
+            ids, _ = encoder.texts(op.pa.array(some))
+            assert ids.tolist() == encoder.tok.encode(some[0], add_special_tokens=False).ids
+            assert encoder.size == sum(map(len, encoder.known))
+    assert encoder.size < 64
+    encoder.clear()
