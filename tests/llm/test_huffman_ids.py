@@ -115,3 +115,23 @@ def test_words_are_encoded_once_for_all_tasks_of_a_worker(monkeypatch):
             assert encoder.size == sum(map(len, encoder.known))
     assert encoder.size < 64
     encoder.clear()
+
+
+def test_words_met_again_stay_known_when_the_room_is_full(monkeypatch):
+    encoder = op.WordEncoder(PATH)
+    library, encoded = encoder.tok, []
+
+    class Counting:
+        def encode_batch_fast(self, texts, **kwargs):
+            encoded.extend(texts[0].split())
+            return library.encode_batch_fast(texts, **kwargs)
+
+    encoder.tok = Counting()
+    monkeypatch.setattr(op, "CACHED_WORDS", 12)
+    for i in range(20):
+        text = "common words here " + " ".join(f"{a}x{b}" for a in "abc" for b in "pqrstuvwxyz"[i % 11])
+        text += " " + "".join("abcdefghij"[int(c)] for c in str(i * 7919 + 100000))
+        ids, _ = encoder.texts(pa.array([text]))
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+        assert len(encoder.known) <= 12 + 7
+    assert [encoded.count(w) for w in ("common", "words", "here")] == [1, 1, 1]
