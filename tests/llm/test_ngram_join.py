@@ -1,7 +1,9 @@
 import random
 import re
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 
 from tidemark.llm import op2_ngram_join as op
 from tidemark.llm.components import components
@@ -136,3 +138,17 @@ def test_parts_do_not_follow_the_order_of_hashes():
         for part, packed in zip(found.column("part").to_pylist(), found.column("packed").to_pylist()):
             sizes[part] += len(packed)
     assert max(sizes) < 1.3 * sum(sizes) / 8
+
+
+def test_a_task_sends_postings_in_small_batches_and_a_class_once(monkeypatch):
+    class Sent:
+        value = np.ones(op.CELLS, np.int64)
+
+    monkeypatch.setattr(op, "FLUSH_POSTINGS", 50)
+    monkeypatch.setattr(op, "SLICE_BYTES", 1)
+    texts = [" ".join(f"{kind}{i}" for i in range(60)) for kind in "abcdefgh"] * 3
+    batch = pa.record_batch([pa.array(texts)], ["text"])
+    sizes = [sum(map(len, b.column("packed").to_pylist())) // 20 for b in op._postings(Sent, 2)(iter([batch]))]
+    one = op.prefix_size(60 - op.WORDS + 1)
+    assert sum(sizes) == 8 * one and max(sizes) < 50 + one
+    assert op.FLUSH_POSTINGS == 50 and op.PART_POSTINGS * 20 <= 5 << 20

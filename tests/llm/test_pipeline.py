@@ -1,12 +1,14 @@
 import importlib.util
 from pathlib import Path
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import tiktoken
 from test_ngram_join import brute
 
 import corpus_pipeline as pipe
-from tidemark.llm import op3_byte_bpe, op6_exact_dedup
+from tidemark.llm import op3_byte_bpe, op6_exact_dedup, textops
 
 SF = "/root/testdata/sf0.001"
 
@@ -77,3 +79,41 @@ def test_stages_decide_by_row_not_by_id(spark):
     mixed = [(r.doc_id, r.text, r.source) for r in pipe.source_mix(spark, table(*rows), SF).collect()]
     assert set(mixed) == set(rows)
     assert all(mixed.count(r) == rows.count(r) for r in rows if r[2] == "large")
+
+
+def test_arrow_steps_over_texts_get_batches_of_bounded_bytes(spark):
+    limit = pipe.ARROW_LIMIT
+    rows = [(i, f"{i} the words of a text " * 400, "en", "s", 1) for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.record_batch([pa.array([b.nbytes])], ["n"])
+
+    for own, most in ((None, pipe.ARROW_BYTES), (str(1 << 20), 1 << 20)):
+        spark.conf.unset(limit) if own is None else spark.conf.set(limit, own)
+        try:
+            pipe.byte_bpe(spark, docs, SF)
+            assert max(r.n for r in docs.mapInArrow(sizes, "n long").collect()) < most + (1 << 17)
+        finally:
+            spark.conf.unset(limit)
+
+
+def test_a_step_gives_its_memory_back():
+    """What many small arrays took is free again at the end of the step."""
+
+    def anonymous():
+        return int(next(x for x in Path("/proc/self/status").read_text().splitlines() if x.startswith("RssAnon")).split()[1])
+
+    def step(batches):
+        for batch in batches:
+            held = [np.ones(8_000) for _ in range(4_000)]  # 256 MB
+            last = np.ones(8_000)  # above them
+            kept.append(last)
+            del held
+            yield batch
+
+    kept = []
+    before = anonymous()
+    assert [b.num_rows for b in textops.freed(step)([pa.record_batch([pa.array([1, 2])], ["x"])])] == [2]
+    assert anonymous() - before < 100_000
