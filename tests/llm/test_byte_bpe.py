@@ -84,3 +84,12 @@ def test_a_task_folds_a_word_once_over_its_batches(monkeypatch):
     assert [r["doc_id"] for r in once] == [1] + [0] * 119
     monkeypatch.setattr(op, "TASK_WORDS", 5)
     assert sum(r["doc_id"] for r in rows()) > 1
+
+
+def test_plans_do_not_spell_out_the_ranks(spark, library):
+    """The driver keeps and logs a description of each plan, again at each
+    change of it; with the ranks in it, it had megabytes."""
+    docs = spark.createDataFrame([(1, "some words"), (2, None)], "doc_id long, text string")
+    encoded = op.encode(docs, PATH)
+    assert {r.doc_id: r.ids for r in encoded.collect()} == {1: library.encode_ordinary("some words"), 2: []}
+    assert len(encoded._jdf.queryExecution().toString()) < 200_000
