@@ -4,9 +4,11 @@ import re
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from tidemark.llm import op2_ngram_join as op
 from tidemark.llm.components import components
+from tidemark.llm.staging import maybe_among
 
 SCHEMA = "doc_id long, text string, n long, class string, f1 string"
 
@@ -152,3 +154,36 @@ def test_a_task_sends_postings_in_small_batches_and_a_class_once(monkeypatch):
     one = op.prefix_size(60 - op.WORDS + 1)
     assert sum(sizes) == 8 * one and max(sizes) < 50 + one
     assert op.FLUSH_POSTINGS == 50 and op.PART_POSTINGS * 20 <= 5 << 20
+
+
+def test_texts_are_shuffled_once_to_find_those_of_representatives(spark):
+    rows = [(i, c, f"{c} {i}") for c, i in (("a", 1), ("a", 1), ("a", 2), ("b", None), ("b", None), ("c", 0), ("c", None), ("d", 5))]
+    rows = spark.createDataFrame(rows, "doc_id long, class string, text string")
+    listed = spark.createDataFrame([("a", 1), ("b", None), ("c", 0), ("e", 1)], "class string, rep long")
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = op._of_representatives(rows, listed)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert {tuple(r) for r in found.collect()} == {(None, "b", "b None"), (0, "c", "c 0"), (1, "a", "a 1")} and found.count() == 3
+        assert plan.count("Exchange hashpartitioning") == 2  # one a side
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+
+
+def test_only_texts_of_pairs_are_sent(spark):
+    """Of many classes a round's few pairs move few texts."""
+    texts = [f"{k} " + " ".join(f"w{k}x{i}" for i in range(20)) for k in range(300)]
+    texts[1] = texts[0] + " more"
+    packed = next(op._pack_texts(iter([pa.record_batch([pa.array(range(300)), pa.array(texts)], ["doc_id", "text"])]))).to_pandas()
+    packed["class"] = [f"c{k}" for k in range(300)]
+    rows = spark.createDataFrame(packed[["class", "n", "cells", "text"]])
+    found = op._verified(spark.createDataFrame([("c0", "c1"), ("c2", "c3")], "a string, b string"), rows)
+    assert [(r.a, r.b) for r in found.collect()] == [("c0", "c1")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("getbit") >= 2  # below the join, on either side
+
+    keys = spark.range(200_000).withColumnRenamed("id", "k")
+    others = spark.range(1_000_000, 1_100_000).withColumnRenamed("id", "k")
+    assert others.filter(maybe_among(keys, "k", F.col("k"), 200_000)).count() < 15_000
+    assert keys.filter(maybe_among(keys, "k", F.col("k"), 200_000)).count() == 200_000
