@@ -61,3 +61,40 @@ def test_large_components_stay_exact_and_trees_cover_their_rows():
         every = [(-max(-op.TOP, min(op.TOP, sum(int(a) * int(b) for a, b in zip(x, q)))), i) for i, x in enumerate(v) if i != 7]
         assert [(-int(s), i) for i, s in zip(got, scores)] == sorted(every)[:20]
         assert sorted(tree["ids"]) == list(ids)
+
+
+def test_trees_and_blocks_travel_once_per_group_in_few_bytes(spark, tmp_path, duck, monkeypatch):
+    for name, value in (("SHARD_ROWS", 20), ("BLOCK_QUERIES", 1), ("TILE_RESULTS", 400), ("CORE_TILES", 1)):
+        monkeypatch.setattr(op, name, value, raising=False)
+    sent, visit = [], op._visit
+    monkeypatch.setattr(op, "_visit", lambda rows, *rest: sent.append(rows.count()) or visit(rows, *rest))
+    rng = np.random.default_rng(5)
+    rows = [(i, (rng.normal(size=6) / 2).tolist()) for i in range(1180)] + [(i, [0.25] * 6) for i in range(1180, 1200)]
+    path = str(tmp_path)
+    _write(spark, path, rows)
+    _same(op.query(spark, path).toPandas(), duck(op.ORACLE_SQL, embeddings=f"{path}/embeddings.parquet/*.parquet"))
+    assert sum(sent) < 60 * 60 / 2  # shards x blocks
+    _write(spark, f"{path}/none", rows[1:20] + rows[21:40])
+    assert op.query(spark, f"{path}/none").count() == 0
+    some = spark.createDataFrame([(i, [i, -i, 127], 1) for i in range(30)], "id long, v array<long>, copies long")
+    assert [len(r["vectors"]) for r in op.build_index(some, 1).collect()] == [30 * 3]
+
+
+def test_lists_equal_the_sorted_scores_of_all_other_shards(monkeypatch):
+    monkeypatch.setattr(op, "VISIT_QUERIES", 8)
+    monkeypatch.setattr(op, "LEAF_ROWS", 16)
+    rng = np.random.default_rng(6)
+    v = rng.integers(-3, 4, (600, 3))  # many ties
+    v[350:360] *= 1 << 40
+    ids, shard = rng.permutation(600), np.arange(600) // 100
+    who = np.arange(0, 600, 12)
+    home = np.where(who % 5 == 0, -1, shard[who])
+    floors = np.full(len(who), op.NONE)
+    floors[3] = 4
+    lists = op.Lists(ids[who], v[who], floors, 5, home)
+    for s in range(6):
+        lists.visit(op.build_tree(ids[shard == s], op._narrow(v[shard == s])), s)
+    for i, h, floor, scores, near in zip(who, home, floors, *lists.best()):
+        every = [(-max(-op.TOP, min(op.TOP, sum(int(a) * int(b) for a, b in zip(x, v[i])))), n) for x, n, s in zip(v, ids, shard) if n != ids[i] and s != h]
+        want = [(s, n) for s, n in sorted(every) if -s >= floor][:5]
+        assert [(-int(s), n) for s, n in zip(scores, near) if s > op.NONE][: len(want)] == want
